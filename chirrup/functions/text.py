@@ -8,8 +8,6 @@ Arrow UDF that only receives the texts holding an ampersand.
 
 from __future__ import annotations
 
-import html
-
 from collections.abc import Iterable
 from functools import reduce
 from operator import or_
@@ -60,24 +58,28 @@ def decode_escapes(c: str | Column) -> Column:
     return F.when(c.contains("\\u"), F.array_join(decoded, "")).otherwise(c)
 
 
-def _unescape(text: str, passes: int) -> str:
-    for _ in range(passes):
-        once = html.unescape(text)
-        if once == text:
-            break
-        text = once
-    return text
-
-
 def unescape_html(c: str | Column, passes: int = 3) -> Column:
-    """Decode HTML entities, repeated for doubly encoded text."""
+    """Decode HTML entities, repeated for doubly encoded text.
+
+    The function is self-contained, so executors need no copy of this package.
+    """
 
-    @F.pandas_udf("string")
     def unescape(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: t if t is None else _unescape(t, passes))
+        import html
+
+        def decode(text):
+            for _ in range(passes if text is not None else 0):
+                once = html.unescape(text)
+                if once == text:
+                    break
+                text = once
+            return text
+
+        return texts.map(decode)
 
     c = col_of(c)
-    return F.coalesce(unescape(F.when(c.contains("&"), c)), c)
+    decoded = F.pandas_udf(unescape, "string")(F.when(c.contains("&"), c))
+    return F.coalesce(decoded, c)
 
 
 def mask_mentions(c: str | Column) -> Column:
@@ -194,17 +196,20 @@ def without_stop_words(tokens: Column, stop_words: Iterable[str]) -> Column:
 
 
 def word_ngrams(tokens: Column, low: int, high: int) -> Column:
-    """All runs of `low` to `high` neighbouring tokens, joined by a blank."""
-    parts = []
-    for n in range(low, high + 1):
+    """All runs of `low` to `high` neighbouring tokens, joined by a blank.
+
+    `tokens` should be a plain column: the lambdas below read it by position,
+    and an expression in its place would be evaluated once per element.
+    """
+
+    def runs_of(n: int) -> Column:
         if n == 1:
-            parts.append(tokens)
-            continue
-        starts = F.when(
-            F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - F.lit(n - 1))
-        ).otherwise(F.array().cast("array<int>"))
-        parts.append(F.transform(starts, lambda i, n=n: F.array_join(F.slice(tokens, i, n), " ")))
-    return F.concat(*parts) if len(parts) > 1 else parts[0]
+            return tokens
+        spots = F.sequence(F.lit(0), F.greatest(F.size(tokens) - F.lit(n), F.lit(0)))
+        runs = F.transform(spots, lambda i: F.concat_ws(" ", *[F.get(tokens, i + F.lit(k)) for k in range(n)]))
+        return F.when(F.size(tokens) >= n, runs).otherwise(F.array().cast("array<string>"))
+
+    return F.concat(*[runs_of(n) for n in range(low, high + 1)])
 
 
 def char_ngrams(c: str | Column, low: int, high: int) -> Column:

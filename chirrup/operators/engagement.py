@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chirrup import params as P
 from chirrup.functions import cleaning as C, text as X
+from chirrup.functions.arrays import one_row_each
 from chirrup.operators.ranking import exact_quantiles, top_per_group
 from chirrup.session import cut_lineage
 
@@ -161,7 +162,7 @@ def monthly_volume(posts: DataFrame) -> DataFrame:
     last_filled = F.coalesce(F.add_months(following, -1), F.col("month"))
     spread = months.withColumn("last_filled", last_filled)
     filled = spread.select(
-        F.explode(F.sequence("month", "last_filled", F.expr("interval 1 month"))).alias("at"), "month", "n"
+        F.explode_outer(F.sequence("month", "last_filled", F.expr("interval 1 month"))).alias("at"), "month", "n"
     )
     return filled.select(
         F.col("at").alias("month"), F.when(F.col("at") == F.col("month"), F.col("n")).otherwise(0).alias("posts")
@@ -225,7 +226,7 @@ def hashtag_counts(posts: DataFrame, text: str = "text_content", n: int = 15) ->
     """Most used hashtags with their count per text that is present."""
     known = posts.filter(F.col(text).isNotNull())
     texts = known.agg(F.count(F.lit(1)).alias("n")).scalar()
-    tags = known.select(F.explode(X.hashtags(text)).alias("tag"))
+    tags = one_row_each(known, [], X.hashtags(text), "tag")
     counts = tags.groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
     top = counts.orderBy(F.desc("n"), "tag").limit(n)
     return top.withColumn("pct_of_texts", F.round(100.0 * F.col("n") / texts, 1))

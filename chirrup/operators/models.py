@@ -17,11 +17,11 @@ from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes,
 from pyspark.ml.feature import (
     CountVectorizerModel, ElementwiseProduct, Normalizer, VectorAssembler,
 )
-from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from chirrup import params as P
 from chirrup.functions import text as X
@@ -60,12 +60,19 @@ class TermExtractor(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadabl
         settings = P.TfidfParams(
             analyzer=self.getOrDefault("analyzer"), ngrams=(self.getOrDefault("low"), self.getOrDefault("high"))
         )
-        return df.withColumn(self.getOutputCol(), TP.terms_of(self.getInputCol(), settings))
+        return TP.with_terms(df, self.getInputCol(), settings, self.getOutputCol())
 
 
-@F.pandas_udf(VectorUDT())
-def _dampen(counts: pd.Series) -> pd.Series:
-    return counts.map(lambda v: SparseVector(v.size, v.indices, 1.0 + np.log(v.values)))
+def _dampened(counts: Column) -> Column:
+    """1 + ln(tf) on sparse counts; self-contained for the executors."""
+
+    def dampen(batch: pd.Series) -> pd.Series:
+        import numpy as np
+        from pyspark.ml.linalg import SparseVector
+
+        return batch.map(lambda v: SparseVector(v.size, v.indices, 1.0 + np.log(v.values)))
+
+    return F.pandas_udf(dampen, VectorUDT())(counts)
 
 
 class DampenCounts(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
@@ -76,7 +83,7 @@ class DampenCounts(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable
         self._set(inputCol=inputCol, outputCol=outputCol)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(self.getOutputCol(), _dampen(F.col(self.getInputCol())))
+        return df.withColumn(self.getOutputCol(), _dampened(F.col(self.getInputCol())))
 
 
 class LabelName(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
@@ -102,7 +109,7 @@ def tfidf_stages(docs: DataFrame, params: P.TfidfParams, prefix: str, text: str
     """
     low, high = params.ngrams
     extract = TermExtractor(text, f"{prefix}_terms", params.analyzer, low, high)
-    tf = TP.term_frequencies(docs, key, TP.terms_of(text, params))
+    tf = TP.term_frequencies(docs, key, text, params)
     n_docs = docs.count()
     vocab = TP.vocabulary(tf, params).select("term", "df").collect()
     idf = [float(np.log((1 + n_docs) / (1 + r["df"])) + 1) for r in vocab]
@@ -373,14 +380,14 @@ def naive_bayes_labels(scores: DataFrame, key: str = "text_id") -> DataFrame:
 
 def fitted_vocabulary(train: DataFrame, text: str, key: str, params: P.TfidfParams) -> DataFrame:
     """Vocabulary with idf weights, at most `max_terms` rows."""
-    tf = TP.term_frequencies(train, key, TP.terms_of(text, params))
+    tf = TP.term_frequencies(train, key, text, params)
     n_docs = train.agg(F.count(F.lit(1)).alias("n")).scalar()
     return cut_lineage(TP.vocabulary(tf, params).select("term", TP.smooth_idf(n_docs, F.col("df")).alias("idf")))
 
 
 def weigh(df: DataFrame, vocab: DataFrame, text: str, key: str, params: P.TfidfParams, keep: Sequence[str] = ()) -> DataFrame:
     """Unit-length TF-IDF rows of `df` under a fitted vocabulary."""
-    tf = TP.term_frequencies(df, key, TP.terms_of(text, params), keep, spread=True)
+    tf = TP.term_frequencies(df, key, text, params, keep, spread=True)
     raw = tf.join(F.broadcast(vocab), "term").withColumn("w", TP.tf_weight(F.col("tf"), params.sublinear) * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
     return raw.select(key, *keep, "term", (F.col("w") / norm).alias("weight"))

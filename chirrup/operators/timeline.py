@@ -53,7 +53,7 @@ def fill_hours(counts: DataFrame, series: Sequence[str] = ()) -> DataFrame:
     following = F.lead("hour").over(Window.partitionBy(*series).orderBy("hour"))
     until = F.coalesce(following - F.expr(ONE_HOUR), F.col("hour"))
     hours = F.sequence(F.col("hour"), F.col("until"), F.expr(ONE_HOUR))
-    spread = counts.withColumn("until", until).withColumn("at", F.explode(hours))
+    spread = counts.withColumn("until", until).withColumn("at", F.explode_outer(hours))
     values = [c for c in counts.columns if c not in (*series, "hour")]
     real = F.col("at") == F.col("hour")
     return spread.select(
@@ -161,7 +161,7 @@ def detect_events(timeline: DataFrame, params: EventParams = EventParams(), seri
         ),
     )
     b = flagged_buckets(timeline, params, series).filter("is_shift OR is_spike")
-    found = b.withColumn("found", F.explode(F.array_compact(F.array(shift, spike))))
+    found = b.withColumn("found", F.explode_outer(F.array_compact(F.array(shift, spike))))
     in_order = Window.partitionBy(*series).orderBy("hour", F.desc("found.event_type"))
     return found.select(
         *series,

@@ -13,15 +13,20 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chirrup import params as P
 from chirrup.functions import cleaning as C, text as X
+from chirrup.functions.arrays import one_row_each
 from chirrup.operators.ranking import small_side, top_per_group
 
 
-def terms_of(text: str | Column, params: P.TfidfParams) -> Column:
-    """Term array of a text under the vectoriser settings."""
+def with_terms(df: DataFrame, text: str, params: P.TfidfParams, name: str = "terms") -> DataFrame:
+    """Add the term array of a text under the vectoriser settings.
+
+    Tokens get a step of their own, so n-grams read a finished array.
+    """
     low, high = params.ngrams
     if params.analyzer == "char":
-        return X.char_ngrams(text, low, high)
-    return X.word_ngrams(X.word_tokens(text), low, high)
+        return df.withColumn(name, X.char_ngrams(text, low, high))
+    tokens = df.withColumn("_tokens", X.word_tokens(text))
+    return tokens.withColumn(name, X.word_ngrams(F.col("_tokens"), low, high)).drop("_tokens")
 
 
 def count_terms(df: DataFrame, terms: Column, name: str = "counted") -> DataFrame:
@@ -49,13 +54,14 @@ def count_terms(df: DataFrame, terms: Column, name: str = "counted") -> DataFram
 
 
 def term_frequencies(
-    docs: DataFrame, key: str, terms: Column, keep: Sequence[str] = (), spread: bool = False
+    docs: DataFrame, key: str, text: str, params: P.TfidfParams, keep: Sequence[str] = (), spread: bool = False
 ) -> DataFrame:
     """Long table (key, term, tf), optionally hash-partitioned by the key."""
-    counted = count_terms(docs.select(key, *keep, terms.alias("_terms")), F.col("_terms")).drop("_terms")
+    counted = count_terms(with_terms(docs.select(key, *keep, text), text, params, "_terms"), F.col("_terms"))
+    arrays = counted.select(key, *keep, "counted")
     if spread:
-        counted = counted.repartition(key)
-    return counted.select(key, *keep, F.inline("counted"))
+        arrays = arrays.repartition(key)
+    return one_row_each(arrays, [key, *keep], F.col("counted"), "c").select(key, *keep, "c.*")
 
 
 def document_frequency(tf: DataFrame) -> DataFrame:
@@ -83,7 +89,7 @@ def tfidf(docs: DataFrame, key: str, text: str, params: P.TfidfParams = P.WORD_T
     The vocabulary has at most `max_terms` rows, so it is broadcast; only the
     counted documents are shuffled, once, and both uses share that exchange.
     """
-    tf = term_frequencies(docs, key, terms_of(text, params), keep, spread=True)
+    tf = term_frequencies(docs, key, text, params, keep, spread=True)
     n_docs = docs.agg(F.count(F.lit(1)).alias("n")).scalar()
     vocab = vocabulary(tf, params).select("term", smooth_idf(n_docs, F.col("df")).alias("idf"))
     raw = tf.join(F.broadcast(vocab), "term").withColumn("w", tf_weight(F.col("tf"), params.sublinear) * F.col("idf"))
@@ -96,7 +102,7 @@ def top_tokens(df: DataFrame, text: str, groups: Sequence[str], n: int = 20) ->
     """Most frequent social tokens per class, stop words removed."""
     stops = (*P.STOP_WORDS, *P.SOCIAL_STOP_WORDS)
     tokens = X.without_stop_words(X.social_tokens(text), stops)
-    counts = df.select(*groups, F.explode(tokens).alias("term")).groupBy(*groups, "term").agg(
+    counts = one_row_each(df, groups, tokens, "term").groupBy(*groups, "term").agg(
         F.count(F.lit(1)).alias("n")
     )
     return top_per_group(counts, groups, [F.desc("n"), F.col("term")], n)
@@ -105,13 +111,13 @@ def top_tokens(df: DataFrame, text: str, groups: Sequence[str], n: int = 20) ->
 def top_bigrams(df: DataFrame, text: str, n: int = 20) -> DataFrame:
     """Most frequent pairs of neighbouring social tokens, stop words kept."""
     tokens = df.select(X.social_tokens(text).alias("t"))
-    pairs = tokens.select(F.explode(X.word_ngrams(F.col("t"), 2, 2)).alias("term"))
+    pairs = one_row_each(tokens, [], X.word_ngrams(F.col("t"), 2, 2), "term")
     return pairs.groupBy("term").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "term").limit(n)
 
 
 def vocabulary_sizes(df: DataFrame, key: str, text: str, floors: Sequence[int] = (1, 2, 3, 5, 10)) -> DataFrame:
     """Number of terms found in at least k documents, for each k."""
-    per_doc = df.select(key, F.explode(F.array_distinct(X.social_tokens(text))).alias("term"))
+    per_doc = one_row_each(df, [key], F.array_distinct(X.social_tokens(text)), "term")
     freq = per_doc.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     names = {str(k): k for k in floors}
     wide = freq.agg(*[F.count_if(F.col("df") >= k).alias(name) for name, k in names.items()])
@@ -124,10 +130,10 @@ def top_char_ngrams(df: DataFrame, text: str, low: int = 3, high: int = 5, n: in
     The grams of a word depend on the word alone, so words are counted first
     and only distinct words are cut up, each with its count.
     """
-    counted = df.select(F.explode(X.words(F.lower(text))).alias("word")).groupBy("word").agg(
+    counted = one_row_each(df, [], X.words(F.lower(text)), "word").groupBy("word").agg(
         F.count(F.lit(1)).alias("n")
     )
-    grams = counted.select("n", F.explode(X.char_ngrams("word", low, high)).alias("term"))
+    grams = one_row_each(counted, ["n"], X.char_ngrams("word", low, high), "term")
     return grams.groupBy("term").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "term").limit(n)
 
 
@@ -165,9 +171,10 @@ def topics_by_event(
     usable = cleaned.filter(F.length("t") >= params.min_text_chars)
     tokens = X.without_stop_words(X.topic_tokens("t"), P.STOP_WORDS)
     with_tokens = usable.withColumn("tokens", tokens)
-    counted = count_terms(with_tokens, X.word_ngrams(F.col("tokens"), 1, 2)).select(key, "created_at", "counted")
+    with_grams = with_tokens.withColumn("terms", X.word_ngrams(F.col("tokens"), 1, 2))
+    counted = count_terms(with_grams, F.col("terms")).select(key, "created_at", "counted")
     placed = event_posts(counted, events).select(*group, key, "counted").repartition(*group, key)
-    tf = placed.select(*group, key, F.inline("counted"))
+    tf = one_row_each(placed, [*group, key], F.col("counted"), "c").select(*group, key, "c.*")
     sizes = placed.groupBy(*group).agg(F.count(F.lit(1)).alias("n_posts"))
     freq = tf.groupBy(*group, "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
     kept = top_per_group(freq, group, [F.desc("total"), F.col("term")], params.max_terms, "_r")
@@ -183,8 +190,8 @@ def entities_by_event(
     posts: DataFrame, events: DataFrame, params: P.TopicParams = P.TopicParams(), text: str = "text"
 ) -> DataFrame:
     """Entities per event and role by the number of posts naming them."""
-    named = posts.select("created_at", X.entities(text).alias("names")).filter(F.size("names") > 0)
-    placed = event_posts(named, events).select("event_id", "role", F.explode("names").alias("entity"))
+    named = posts.select("created_at", X.entities(text).alias("names"))
+    placed = one_row_each(event_posts(named, events), ["event_id", "role"], F.col("names"), "entity")
     counts = placed.groupBy("event_id", "role", "entity").agg(F.count(F.lit(1)).alias("n"))
     frequent = counts.filter(F.col("n") >= params.min_entity_posts)
     return top_per_group(frequent, ["event_id", "role"], [F.desc("n"), F.col("entity")], params.top_entities)

@@ -42,7 +42,7 @@ def articles_in_window(windowed: DataFrame, articles: DataFrame) -> DataFrame:
     broadcast, which leaves the articles unshuffled on any skewed day.
     """
     days = F.sequence(F.to_date("window_start"), F.to_date("window_end"), F.expr("interval 1 day"))
-    by_day = windowed.withColumn("day", F.explode(days))
+    by_day = windowed.withColumn("day", F.explode_outer(days))
     dated = articles.withColumn("day", F.to_date("published_at"))
     inside = (F.col("published_at") > F.col("window_start")) & (F.col("published_at") < F.col("window_end"))
     return dated.join(small_side(by_day), "day").filter(inside).drop("day")

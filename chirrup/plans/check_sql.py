@@ -192,7 +192,8 @@ def social_tokens(expr: str) -> str:
 
 
 def bigrams(tokens: str) -> str:
-    return f"list_transform(range(1, len({tokens})), lambda i: {tokens}[i] || ' ' || {tokens}[i + 1])"
+    pairs = f"list_zip({tokens}[:len({tokens}) - 1], {tokens}[2:])"
+    return f"list_transform({pairs}, lambda p: p[1] || ' ' || p[2])"
 
 
 def words(expr: str) -> str:

@@ -270,7 +270,7 @@ QUERIES: dict[str, Query] = {
     "engagement_spikes": Query(spikes, f"{_EV} SELECT {_EVENT_OUT} FROM ev WHERE o = 1"),
     "events_by_user": Query(events_by_user, f"""{S.with_views('scored', **_BY_USER, **_USER_EVENTS)}
         SELECT user_id, event_type, count(*) AS n, min(event_id) AS first_id FROM ids GROUP BY ALL"""),
-    "detection_summary": Query(summary, f"""{_EV} SELECT round(max(sl), 6) AS shift_threshold, round(max(pl), 6) AS spike_threshold,
+    "detection_summary": Query(summary, f"""{_EV} SELECT CAST(max(sl) AS DOUBLE) AS shift_threshold, round(max(pl), 6) AS spike_threshold,
         round(max(m), 6) AS mean_engagement, round(max(s), 6) AS std_engagement,
         (SELECT round(avg(post_count), 6) FROM tl) AS mean_post_count, (SELECT round(stddev_samp(post_count), 6) FROM tl) AS std_post_count,
         (SELECT count(*) FROM found WHERE o = 0) AS num_shifts, (SELECT count(*) FROM found WHERE o = 1) AS num_spikes FROM lim"""),
