@@ -360,7 +360,7 @@ def naive_bayes_scores(train: DataFrame, rows: DataFrame, text: str = "text_clea
     ladder = base.agg(
         F.collect_list(F.struct(F.col(label).alias("candidate"), "log_prior", "log_total")).alias("o")
     ).scalar()
-    every = rows.select(key).join(mass, key, "left").select(key, F.coalesce("mass", F.lit(0.0)).alias("mass"), F.explode(ladder).alias("c"))
+    every = rows.select(key).join(mass, key, "left").select(key, F.coalesce("mass", F.lit(0.0)).alias("mass"), F.explode_outer(ladder).alias("c"))
     return (
         every.select(key, "mass", "c.*")
         .join(gains, [key, "candidate"], "left")

@@ -95,7 +95,7 @@ def stream_future(spark, d):
 def _twice(stream):
     """Every fortieth post arrives a second time."""
     copies = F.when(F.col("post_id") % 40 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    again = stream.withColumn("again", F.explode(copies))
+    again = stream.withColumn("again", F.explode_outer(copies))
     return again.select(
         F.concat(F.lit("post/"), F.col("post_id").cast("string")).alias("post_uri"), "ts", "sentiment_label",
         (F.col("post_id") + F.col("again")).alias("arrival"),
