@@ -154,9 +154,9 @@ def predict_stratified(train: DataFrame, rows: DataFrame, label: str, key: str,
     ladder = shares.agg(F.array_sort(F.collect_list(F.struct("upto", "name"))).alias("l")).scalar()
     digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), 1, 8)
     draw = F.conv(digits, 16, 10).cast("bigint") / F.lit(2.0**32)
-    return rows.withColumn("_draw", draw).withColumn(
-        PRED, F.get(F.filter(ladder, lambda s: s["upto"] > F.col("_draw")), F.lit(0))["name"]
-    ).drop("_draw")
+    above = F.filter("_ladder", lambda s: s["upto"] > F.col("_draw"))
+    drawn = rows.withColumn("_draw", draw).withColumn("_ladder", ladder)
+    return drawn.withColumn(PRED, F.get(above, F.lit(0))["name"]).drop("_draw", "_ladder")
 
 
 def beats_baselines(scores: DataFrame, trivial: Sequence[str]) -> DataFrame:

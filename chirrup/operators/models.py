@@ -66,13 +66,15 @@ class TermExtractor(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadabl
 def _dampened(counts: Column) -> Column:
     """1 + ln(tf) on sparse counts; self-contained for the executors."""
 
-    def dampen(batch: pd.Series) -> pd.Series:
+    def dampen(batch: pd.DataFrame) -> pd.DataFrame:
         import numpy as np
-        from pyspark.ml.linalg import SparseVector
 
-        return batch.map(lambda v: SparseVector(v.size, v.indices, 1.0 + np.log(v.values)))
+        # a vector arrives and leaves as its storage struct (type, size, indices, values)
+        return batch.assign(values=batch["values"].map(lambda v: 1.0 + np.log(v)))
 
-    return F.pandas_udf(dampen, VectorUDT())(counts)
+    # reading the counts twice keeps them in a projection of their own; folded
+    # into the n-gram lambdas below, the planner would not find this function
+    return F.when(counts.isNotNull(), F.pandas_udf(dampen, VectorUDT())(F.unwrap_udt(counts)))
 
 
 class DampenCounts(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
@@ -193,10 +195,10 @@ def estimator(spec: ModelSpec, n_rows: int):
     if spec.algorithm == "nb":
         return NaiveBayes(modelType="multinomial", smoothing=1.0, **weight)
     if spec.algorithm == "svm":
-        base = LinearSVC(regParam=reg, maxIter=100, standardization=False)
+        base = LinearSVC(regParam=reg, maxIter=100, tol=1e-4, standardization=False)
         return OneVsRest(classifier=base, parallelism=3)
     return LogisticRegression(
-        family="multinomial", regParam=reg, elasticNetParam=0.0, maxIter=100, standardization=False, **weight
+        family="multinomial", regParam=reg, elasticNetParam=0.0, maxIter=100, tol=1e-4, standardization=False, **weight
     )
 
 

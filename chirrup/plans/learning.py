@@ -212,7 +212,7 @@ QUERIES: dict[str, Query] = {
     "group_split": Query(group_split, f"{_ROWS} SELECT text_id, sentiment_label, split FROM rows_"),
     "split_sizes": Query(
         lambda s, d: SP.split_sizes(split_rows(s, d)), f"{_ROWS} SELECT split, sentiment_label, count(*) AS n FROM rows_ GROUP BY ALL"),
-    "split_checks": Query(split_checks, f"""{_ROWS}, c AS (SELECT split, sentiment_label, count(*) * 100.0 / sum(count(*)) OVER (PARTITION BY split) AS s FROM rows_ GROUP BY ALL)
+    "split_checks": Query(split_checks, f"""{_ROWS}, c AS (SELECT split, sentiment_label, count(*) * 100.0 / sum(count(*)) OVER (PARTITION BY split) AS s FROM rows_ GROUP BY split, sentiment_label)
         SELECT "check", CAST(v AS BIGINT) AS violations, v = 0 AS passed FROM (
         SELECT 'no unicode escapes left' AS "check", (SELECT count(*) FROM rows_ WHERE {S.hit('text_clean', r'\\u[0-9A-Fa-f]{4}')}) AS v
         UNION ALL SELECT 'no html entities left', (SELECT count(*) FROM rows_ WHERE {S.hit('text_clean', '(?i)&(?:amp|quot|#39|lt|gt);')})
