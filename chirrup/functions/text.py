@@ -213,21 +213,22 @@ def word_ngrams(tokens: Column, low: int, high: int) -> Column:
 
 
 def char_ngrams(c: str | Column, low: int, high: int) -> Column:
-    """Character n-grams inside words padded with one blank on each side.
+    """Character n-grams (n >= 3) inside words padded with one blank each side.
 
-    A padded word no longer than n is taken whole, once.
+    A look-ahead group matches at every position without consuming text, so
+    each position yields the one gram of n characters that starts there and
+    holds blanks at its ends only. A padded word shorter than the smallest n is
+    taken whole, once. Positions inside a surrogate pair are skipped.
     """
-    padded = F.transform(words(F.lower(col_of(c))), lambda w: F.concat(F.lit(" "), w, F.lit(" ")))
-
-    def grams_of_size(w: Column, n: Column) -> Column:
-        last = F.greatest(F.length(w) - n + F.lit(1), F.lit(1))
-        return F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(w, i, n))
-
-    def grams_of_word(w: Column) -> Column:
-        top = F.greatest(F.least(F.lit(high), F.length(w)), F.lit(low))
-        sizes = F.sequence(F.lit(low), top)
-        return F.flatten(F.transform(sizes, lambda n: grams_of_size(w, n)))
-
-    return F.flatten(F.transform(padded, grams_of_word))
-
-
+    if low < 3:
+        raise ValueError("character n-grams start at n = 3")
+    line = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(col_of(c)), r"(?U)\s+", " ")), F.lit(" "))
+
+    def grams(n: int) -> Column:
+        shapes = [rf"\S{{{n}}}", rf" \S{{{n - 1}}}", rf"\S{{{n - 1}}} ", rf" \S{{{n - 2}}} "]
+        if n == low > 3:
+            shapes.append(rf" \S{{1,{n - 3}}} ")
+        pattern = rf"(?U)(?![\x{{DC00}}-\x{{DFFF}}])(?=({'|'.join(shapes)}))"
+        return F.regexp_extract_all(line, F.lit(pattern), F.lit(1))
+
+    return F.concat(*[grams(n) for n in range(low, high + 1)])

@@ -72,9 +72,7 @@ def _dampened(counts: Column) -> Column:
         # a vector arrives and leaves as its storage struct (type, size, indices, values)
         return batch.assign(values=batch["values"].map(lambda v: 1.0 + np.log(v)))
 
-    # reading the counts twice keeps them in a projection of their own; folded
-    # into the n-gram lambdas below, the planner would not find this function
-    return F.when(counts.isNotNull(), F.pandas_udf(dampen, VectorUDT())(F.unwrap_udt(counts)))
+    return F.pandas_udf(dampen, VectorUDT())(F.unwrap_udt(counts))
 
 
 class DampenCounts(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
@@ -195,10 +193,10 @@ def estimator(spec: ModelSpec, n_rows: int):
     if spec.algorithm == "nb":
         return NaiveBayes(modelType="multinomial", smoothing=1.0, **weight)
     if spec.algorithm == "svm":
-        base = LinearSVC(regParam=reg, maxIter=100, tol=1e-4, standardization=False)
+        base = LinearSVC(regParam=reg, maxIter=50, tol=1e-3, standardization=False)
         return OneVsRest(classifier=base, parallelism=3)
     return LogisticRegression(
-        family="multinomial", regParam=reg, elasticNetParam=0.0, maxIter=100, tol=1e-4, standardization=False, **weight
+        family="multinomial", regParam=reg, elasticNetParam=0.0, maxIter=100, tol=1e-3, standardization=False, **weight
     )
 
 
