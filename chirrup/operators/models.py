@@ -193,10 +193,10 @@ def estimator(spec: ModelSpec, n_rows: int):
     if spec.algorithm == "nb":
         return NaiveBayes(modelType="multinomial", smoothing=1.0, **weight)
     if spec.algorithm == "svm":
-        base = LinearSVC(regParam=reg, maxIter=50, tol=1e-3, standardization=False)
+        base = LinearSVC(regParam=reg, maxIter=20, tol=1e-3, standardization=False)
         return OneVsRest(classifier=base, parallelism=3)
     return LogisticRegression(
-        family="multinomial", regParam=reg, elasticNetParam=0.0, maxIter=100, tol=1e-3, standardization=False, **weight
+        family="multinomial", regParam=reg, elasticNetParam=0.0, maxIter=40, tol=1e-3, standardization=False, **weight
     )
 
 
@@ -294,7 +294,7 @@ def select_and_refit(train: DataFrame, val: DataFrame, specs: Sequence[ModelSpec
 
 def learnability(df: DataFrame, label: str, classes: Sequence[str], margin: float = 0.05, seed: int = 42) -> DataFrame:
     """Does a linear model on a stratified 80/20 split beat the majority class?"""
-    parts = cut_lineage(stratified_split(df, label, "text_id", 0.20, seed))
+    parts = cut_lineage(stratified_split(df, label, "text_id", 0.20, seed), "text_id")
     train, test = parts.filter("split = 'train'"), parts.filter("split = 'test'")
     settings = P.TfidfParams(max_terms=20_000, min_df=1)
     spec = ModelSpec("learnability", (("word", settings),), "lr")

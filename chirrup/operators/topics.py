@@ -56,11 +56,17 @@ def count_terms(df: DataFrame, terms: Column, name: str = "counted") -> DataFram
 def term_frequencies(
     docs: DataFrame, key: str, text: str, params: P.TfidfParams, keep: Sequence[str] = (), spread: bool = False
 ) -> DataFrame:
-    """Long table (key, term, tf), optionally hash-partitioned by the key."""
-    counted = count_terms(with_terms(docs.select(key, *keep, text), text, params, "_terms"), F.col("_terms"))
-    arrays = counted.select(key, *keep, "counted")
-    if spread:
-        arrays = arrays.repartition(key)
+    """Long table (key, term, tf).
+
+    With `spread`, terms are counted inside the row and the result is hashed by
+    the key alone, for joins and windows per document. Otherwise (vocabularies)
+    a generated hash aggregation counts them, complete per document map-side.
+    """
+    termed = with_terms(docs.select(key, *keep, text), text, params, "_terms")
+    if not spread:
+        rows = one_row_each(termed, [key, *keep], F.col("_terms"), "term")
+        return rows.groupBy(key, *keep, "term").agg(F.count(F.lit(1)).alias("tf"))
+    arrays = count_terms(termed, F.col("_terms")).select(key, *keep, "counted").repartition(key)
     return one_row_each(arrays, [key, *keep], F.col("counted"), "c").select(key, *keep, "c.*")
 
 

@@ -108,14 +108,14 @@ def error_categories(spark, d):
 
 
 def nb_scores(spark, d):
-    rows = cut_lineage(labelled(spark, d).select("text_id", "text_clean", "sentiment_label"))
+    rows = cut_lineage(labelled(spark, d).select("text_id", "text_clean", "sentiment_label"), "text_id")
     scores = M.naive_bayes_scores(rows, rows)
     return scores.select("text_id", "label", F.round("log_score", 5).alias("log_score"))
 
 
 # ------------------------------------------------------------------ models
 def _parts(spark, d):
-    rows = cut_lineage(split_rows(spark, d).select("text_id", "post_text", "text_clean", "sentiment_label", "topic_category", "split"))
+    rows = cut_lineage(split_rows(spark, d).select("text_id", "post_text", "text_clean", "sentiment_label", "topic_category", "split"), "text_id")
     return tuple(rows.filter(F.col("split") == s).drop("split") for s in ("train", "val", "test"))
 
 
@@ -161,7 +161,7 @@ def weights(spark, d):
 
 
 def learnable(spark, d):
-    rows = cut_lineage(labelled(spark, d).select("text_id", "text_clean", "topic_category"))
+    rows = cut_lineage(labelled(spark, d).select("text_id", "text_clean", "topic_category"), "text_id")
     return M.learnability(rows, "topic_category", tuple(P.TOPIC_LABELS))
 
 

@@ -51,13 +51,18 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, spread_by: str | None = None) -> DataFrame:
     """Write `df` to the shared folder once and read it from there afterwards.
 
     Used before multi-pass work (model fits): a lost executor then costs a
-    re-read of files instead of a recomputation of the text features.
+    re-read of files instead of a recomputation of the text features. With
+    `spread_by`, rows are hashed over at least one partition per core first, so
+    a table that is small in bytes but heavy in text work uses every core.
     """
     spark = df.sparkSession
+    if spread_by:
+        shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartition(max(spark.sparkContext.defaultParallelism, shuffle), spread_by)
     root = shared_dir(spark)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
