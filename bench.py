@@ -21,7 +21,7 @@ HEADLINE = (
     "clean_posts", "dq_users_posts", "hourly_timeline", "flagged_events", "trigger_verdicts", "clean_text_docs",
     "relevance_split", "top_tokens_by_class", "char_ngram_top", "tfidf_weights", "group_split", "nb_sentiment",
 )
-BUDGET_SEC = float(os.environ.get("BENCH_BUDGET", "900"))
+BUDGET_SEC = float(os.environ.get("BENCH_BUDGET", "600"))
 
 
 def main() -> None:
