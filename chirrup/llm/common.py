@@ -79,7 +79,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_POWERS.get("up", ())) < n:
-        size = max(n, 1 << 22)
+        size = max(n, 1 << 20)
         for name, base in (("up", _MULT), ("down", _INV)):
             steps = np.full(size, base, _U)
             steps[0] = 1
@@ -90,7 +90,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64))
 
 
-def slices(batch: pa.RecordBatch, text: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in row runs of about `most` text bytes; a longer text stands alone."""
     column = batch.column(text)
     if not len(column):
