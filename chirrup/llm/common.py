@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from chirrup.session import cut_lineage
+from chirrup.session import cut_lineage, fresh_dir
 
 WIDTH = 5  # words in a shingle
 SIMILAR = 0.8
@@ -30,6 +30,13 @@ def plain(text: Column) -> Column:
 PLAIN_SQL = r"trim(regexp_replace(lower(coalesce({0}, '')), '[^\p{{L}}\p{{M}}\p{{N}}]+', ' ', 'g'))"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """`df` written as Parquet to the shared folder and read from there: smaller than a checkpoint for long texts."""
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def broadcast_if_small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Hint a broadcast when the counted rows fit `limit`; otherwise the join shuffles.
 
