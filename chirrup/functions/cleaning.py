@@ -35,8 +35,13 @@ def normalize_missing(c: str | Column) -> Column:
 
 
 def to_long_or_null(c: str | Column) -> Column:
-    """Lenient number: placeholders and garbage become null (never NaN)."""
-    return normalize_missing(c).try_cast("bigint")
+    """Lenient number: placeholders and garbage become null (never NaN).
+
+    `12.0` and `1e3` are read as well; a fraction is rounded half to even, since counts are whole.
+    """
+    v = normalize_missing(c)
+    number = v.try_cast("double")
+    return F.coalesce(v.try_cast("bigint"), F.when(~F.isnan(number), F.bround(number).try_cast("bigint")))
 
 
 def to_long_strict(c: str | Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -135,11 +137,18 @@ def platform_spread(posts: DataFrame) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int, groups: Sequence[str] = ()) -> DataFrame:
     """Equal-width counts between minimum and maximum; last bin closed right.
 
-    The two bounds come from a one-row subquery over the same column.
+    Without groups the two bounds are a one-row subquery over the same column;
+    each group has a range of its own.
     """
     v = F.col(column).cast("double")
     known = df.select(*groups, v.alias("v")).filter(F.col("v").isNotNull())
-    bounds = known.agg(F.struct(F.min("v").alias("low"), F.max("v").alias("high"))).scalar()
+    bounds = F.struct(F.min("v").alias("low"), F.max("v").alias("high"))
+    if groups:
+        ranges = known.groupBy(*[F.col(g).alias(f"_{g}") for g in groups]).agg(bounds.alias("_bounds"))
+        same = reduce(and_, [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in groups])
+        known, bounds = known.join(ranges, same), F.col("_bounds")
+    else:
+        bounds = known.agg(bounds).scalar()
     width = bounds["high"] - bounds["low"]
     spot = F.when(width > 0, F.floor((F.col("v") - bounds["low"]) / width * bins)).otherwise(0)
     return known.groupBy(*groups, F.least(spot, F.lit(bins - 1)).cast("bigint").alias("bin")).agg(

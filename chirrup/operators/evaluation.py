@@ -16,7 +16,9 @@ TRUE, PRED = "true_label", "predicted_label"
 
 
 def confusion_counts(predictions: DataFrame) -> DataFrame:
-    return predictions.groupBy(TRUE, PRED).agg(F.count(F.lit(1)).alias("n"))
+    """Rows per (truth, prediction); a column `n` of `predictions` holds counts taken before."""
+    n = F.sum("n") if "n" in predictions.columns else F.count(F.lit(1))
+    return predictions.groupBy(TRUE, PRED).agg(n.alias("n"))
 
 
 def confusion_pairs(predictions: DataFrame) -> DataFrame:

@@ -147,6 +147,9 @@ class ModelSpec:
     algorithm: str  # "lr", "svm" or "nb"
     c: float = 1.0
     balanced: bool = False
+    lr_iterations: int = 1000
+    svm_iterations: int = 2000
+    tolerance: float = 1e-3
 
     @property
     def config(self) -> str:
@@ -154,6 +157,7 @@ class ModelSpec:
         return f"{names} {self.algorithm} C={self.c}{' balanced' if self.balanced else ''}"
 
 
+ROWS_PER_TASK = 20_000  # feature rows of one task in a solver pass
 WORD, CHAR = ("word", P.WORD_TFIDF), ("char", P.CHAR_TFIDF)
 INCUMBENT = ModelSpec("incumbent", (CHAR,), "lr")
 EXPERIMENTS = (
@@ -193,13 +197,24 @@ def estimator(spec: ModelSpec, n_rows: int):
     if spec.algorithm == "nb":
         return NaiveBayes(modelType="multinomial", smoothing=1.0, **weight)
     if spec.algorithm == "svm":
-        base = LinearSVC(regParam=reg, maxIter=20, tol=1e-3, standardization=False)
+        base = LinearSVC(regParam=reg, maxIter=spec.svm_iterations, tol=spec.tolerance, standardization=False)
         return OneVsRest(classifier=base, parallelism=3)
     return LogisticRegression(
-        family="multinomial", regParam=reg, elasticNetParam=0.0, maxIter=40, tol=1e-3, standardization=False, **weight
+        family="multinomial", regParam=reg, elasticNetParam=0.0, maxIter=spec.lr_iterations, tol=spec.tolerance, standardization=False, **weight
     )
 
 
+def require_converged(model, spec: ModelSpec) -> None:
+    """Fail on a fit that stopped at its iteration limit instead of its tolerance."""
+    if spec.algorithm == "nb":
+        return
+    limit = spec.svm_iterations if spec.algorithm == "svm" else spec.lr_iterations
+    for part in model.models if spec.algorithm == "svm" else [model]:
+        used = (part.summary() if spec.algorithm == "svm" else part.summary).totalIterations
+        if used >= limit:
+            raise RuntimeError(f"{spec.run_id}: not converged after {used} iterations")
+
+
 def fit_model(
     train: DataFrame, spec: ModelSpec, stages: Sequence[Transformer] | None = None, label: str = LABEL,
     classes: Sequence[str] = P.SENTIMENTS, features: DataFrame | None = None,
@@ -215,7 +230,12 @@ def fit_model(
         features = feature_table(train, stages, label, classes)
     if spec.balanced:
         features = class_weights(features, label)
-    model = estimator(spec, features.count()).fit(features)
+    rows = features.count()
+    # A solver pass is one job over every partition; a table is cut to its size and held for all passes.
+    held = features.coalesce(max(1, min(features.rdd.getNumPartitions(), -(-rows // ROWS_PER_TASK)))).persist()
+    model = estimator(spec, rows).fit(held)
+    held.unpersist()
+    require_converged(model, spec)
     return PipelineModel(stages=[*stages, model, LabelName(names=classes)])
 
 
@@ -241,7 +261,13 @@ def batch_labels(model: PipelineModel, raw: DataFrame, text: str = "post_text",
 
 # ------------------------------------------------------------- experiments
 def _result_row(spec: ModelSpec, predictions: DataFrame, classes: Sequence[str] = P.SENTIMENTS) -> DataFrame:
-    """Overall metrics and per-class F1 of one run, as one row."""
+    """Overall metrics and per-class F1 of one run, as one row.
+
+    The run is reduced to its confusion counts first, so the log holds
+    numbers and no plan of a scored model.
+    """
+    cells = [(r[EV.TRUE], r[EV.PRED], r["n"]) for r in EV.confusion_counts(predictions).collect()]  # classes squared at most
+    predictions = predictions.sparkSession.createDataFrame(cells, f"{EV.TRUE} string, {EV.PRED} string, n long")
     overall = EV.overall_metrics(predictions).select("accuracy", "macro_f1", "macro_precision", "macro_recall")
     per_class = EV.class_metrics(predictions)
     wide = per_class.agg(

@@ -186,8 +186,10 @@ def result_checks(users: DataFrame, posts: DataFrame) -> DataFrame:
     )
 
 
-def split_checks(split: DataFrame, text: str = "text_clean", label: str = "sentiment_label", tolerance_pp: float = 5.0) -> DataFrame:
-    """No residue of raw markup, no leak, class shares near the overall ones."""
+def split_checks(
+    split: DataFrame, text: str = "text_clean", label: str = "sentiment_label", tolerance_pp: float = 5.0, source: DataFrame | None = None,
+) -> DataFrame:
+    """No residue of raw markup, no leak, class shares near an even split, and no row lost from `source`."""
     from chirrup.operators.splits import split_leaks
 
     residue = run_checks(
@@ -198,8 +200,13 @@ def split_checks(split: DataFrame, text: str = "text_clean", label: str = "senti
             "every row has a split": ~F.coalesce(F.col("split").isin("train", "val", "test"), F.lit(False)),
         },
     )
-    return all_of(residue, count_check(split_leaks(split, text), "no text in two splits"),
-                  count_check(unbalanced(split, ["split"], label, tolerance_pp), "class shares within tolerance"))
+    suites = [residue, count_check(split_leaks(split, text), "no text in two splits"),
+              count_check(unbalanced(split, ["split"], label, tolerance_pp), "class shares within tolerance")]
+    if source is not None:
+        parts = split.agg(F.count(F.lit(1)).alias("n"))
+        off = parts.where(F.col("n") != source.agg(F.count(F.lit(1)).alias("n")).scalar())
+        suites.append(count_check(off, "parts add up to the input"))
+    return all_of(*suites)
 
 
 def unbalanced(df: DataFrame, groups: Sequence[str], label: str, tolerance_pp: float) -> DataFrame:

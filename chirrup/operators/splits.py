@@ -16,9 +16,11 @@ def group_split(
 
     Groups are stratified by the label of their first row (lowest key). Texts
     are represented by digests, so only short fixed-width keys are shuffled to
-    find the cut; the text itself moves once, to meet its group's part.
+    find the cut; the text itself moves once, to meet its group's part. Rows
+    without text are one group, so the parts add up to the input.
     """
-    digests = df.withColumn("_group", F.sha2(text, 256)).withColumn("_order", seeded_key(F.col(text), params.seed))
+    digests = df.withColumn("_group", F.coalesce(F.sha2(text, 256), F.lit("no text"))).withColumn(
+        "_order", F.coalesce(seeded_key(F.col(text), params.seed), F.lit("")))
     groups = digests.groupBy("_group", "_order").agg(F.min_by(label, key).alias("_label"))
     ranked = positions_in_strata(groups, "_label", "_order", "_group")
     n = F.col("stratum_size")

@@ -103,8 +103,8 @@ QUERIES: dict[str, Query] = {
             f"SELECT '{n}' AS issue, count(*) FILTER (WHERE {c}) AS n_rows, round(100.0 * count(*) FILTER (WHERE {c}) / count(*), 1) AS pct FROM all_texts"
             for n, c in _ISSUES.items())),
     "text_lengths": Query(lengths, f"{_SIZED} SELECT kind, {_LENGTHS} FROM sized GROUP BY kind UNION ALL SELECT 'all', {_LENGTHS} FROM sized"),
-    "length_histogram": Query(length_histogram, f"""{_SIZED}, b AS (SELECT CAST(min(w) AS DOUBLE) AS lo, CAST(max(w) AS DOUBLE) AS hi FROM sized)
-        SELECT kind, CAST(least(floor((w - lo) / (hi - lo) * 25), 24) AS BIGINT) AS bin, count(*) AS n FROM sized, b GROUP BY ALL"""),
+    "length_histogram": Query(length_histogram, f"""{_SIZED}, b AS (SELECT kind, CAST(min(w) AS DOUBLE) AS lo, CAST(max(w) AS DOUBLE) AS hi FROM sized GROUP BY kind)
+        SELECT kind, CAST(least(floor((w - lo) / (hi - lo) * 25), 24) AS BIGINT) AS bin, count(*) AS n FROM sized JOIN b USING (kind) GROUP BY ALL"""),
     "text_markers": Query(markers, f"""{S.with_views('all_texts')} SELECT text_id, {S.negation('text')} AS negation, {S.sarcasm('text')} AS sarcasm,
         len(regexp_extract_all(text, '#([\\p{{L}}\\p{{N}}_]+)', 1)) AS hashtags, len(regexp_extract_all(text, '@[A-Za-z0-9_]+')) AS mentions,
         len({S.words('text')}) AS words, {_ISSUES['url']} AS has_url FROM all_texts"""),

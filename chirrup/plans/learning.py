@@ -36,7 +36,7 @@ def group_split(spark, d):
 
 
 def split_checks(spark, d):
-    return Q.split_checks(split_rows(spark, d))
+    return Q.split_checks(split_rows(spark, d), source=labelled(spark, d))
 
 
 def leaks(spark, d):
@@ -147,7 +147,7 @@ def batch(spark, d):
     from chirrup.plans.corpus import documents
 
     train, _, _ = _parts(spark, d)
-    spec = M.ModelSpec("word+svm", (M.WORD,), "svm")
+    spec = M.ModelSpec("word+nb", (M.WORD,), "nb")  # the cheapest fit: this query is about storing and scoring
     path = fresh_dir(spark, "model")
     A.save_model(M.fit_model(train, spec), {"config": spec.config, "classes": list(P.SENTIMENTS)}, path)
     model, _ = A.load_model(spark, path)
@@ -218,7 +218,8 @@ QUERIES: dict[str, Query] = {
         UNION ALL SELECT 'no html entities left', (SELECT count(*) FROM rows_ WHERE {S.hit('text_clean', '(?i)&(?:amp|quot|#39|lt|gt);')})
         UNION ALL SELECT 'every row has a split', (SELECT count(*) FROM rows_ WHERE split IS NULL)
         UNION ALL SELECT 'no text in two splits', (SELECT count(*) FROM (SELECT 1 FROM rows_ GROUP BY text_clean HAVING count(DISTINCT split) > 1))
-        UNION ALL SELECT 'class shares within tolerance', (SELECT count(*) FROM c WHERE abs(s - 100.0 / (SELECT count(DISTINCT sentiment_label) FROM rows_)) > 5))"""),
+        UNION ALL SELECT 'class shares within tolerance', (SELECT count(*) FROM c WHERE abs(s - 100.0 / (SELECT count(DISTINCT sentiment_label) FROM rows_)) > 5)
+        UNION ALL SELECT 'parts add up to the input', (SELECT CASE WHEN (SELECT count(*) FROM rows_) = (SELECT count(*) FROM lab) THEN 0 ELSE 1 END))"""),
     "split_leaks": Query(leaks, f"""{S.with_views('labelled', **_LAB)} SELECT sha256(text_clean) AS text_digest FROM lab GROUP BY text_clean
         HAVING count(DISTINCT text_id % 2) > 1"""),
     "shared_texts": Query(shared, f"""{S.with_views('labelled', **_LAB)} SELECT md5(text_clean) AS text_md5 FROM lab WHERE text_id % 2 = 0

@@ -184,12 +184,15 @@ def scored_posts(spark: SparkSession, folder: str) -> DataFrame:
 def document_posts(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as posts; the event of the same number gives time and label.
 
-    The document text is kept whole and one sample wording is appended.
+    A document without such an event stays, as a view at a time derived from its id. The document text is kept whole and one sample wording is appended.
     """
     k = F.col("event_id")
     docs = fan_out(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
     events = table(spark, folder, "events").select("event_id", "ts", "event_type", "value")
-    return docs.join(events, F.col("doc_id") == k).select(
+    late = F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, pmod(coalesce(doc_id, 0), 2592000))")
+    joined = docs.join(events, F.col("doc_id") == k, "left").withColumns({
+        "ts": F.coalesce("ts", late), "event_type": F.coalesce("event_type", F.lit("view")), "event_id": F.coalesce("event_id", "doc_id")})
+    return joined.select(
         F.col("doc_id").alias("post_id"),
         F.concat(_iso(F.col("ts")), F.lit("Z")).alias("created_at"),
         F.concat(_iso(F.col("ts")), F.lit("Z")).alias("collected_at"),
