@@ -49,5 +49,7 @@ def scan(docs: DataFrame, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFra
     units = docs.select("doc_id", text.alias("text"), lines.alias("lines"))
     whole = units.select("doc_id", F.lit("text").alias("scope"), F.col("text").alias("unit"))
     parts = units.where(F.size("lines") > 1).select("doc_id", F.lit("line").alias("scope"), F.explode("lines").alias("unit"))
-    return (whole.union(parts).select("doc_id", "scope", F.sha2(canonical(F.col("unit")), 256).alias("digest"))
+    # Never null, so the optimizer adds no null filter, which would canonicalise every unit a second time.
+    digest = F.coalesce(F.sha2(canonical(F.col("unit")), 256), F.lit(""))
+    return (whole.union(parts).select("doc_id", "scope", digest.alias("digest"))
             .join(digests, "digest").groupBy("doc_id", "license_id", "scope").agg(F.count(F.lit(1)).alias("matches")))
