@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -146,14 +145,14 @@ def toxic_score(model: np.ndarray, text: Column) -> Column:
     some = np.flatnonzero(table)
     values = table[some]
 
-    def run(texts: pd.Series) -> pd.Series:
+    def run(texts: pa.Array) -> pa.Array:
         full = np.zeros(BUCKETS, np.float32)
         full[some] = values
         out = []
-        for batch in slices(pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["plain"]), "plain"):
+        for batch in slices(pa.RecordBatch.from_arrays([texts], ["plain"]), "plain"):
             doc, ids = _word_ids(batch.column("plain"))
             z = np.bincount(doc, weights=full[ids], minlength=len(batch)) + offset
             out.append(1 / (1 + np.exp(-np.clip(z, -40, 40))))
-        return pd.Series(np.concatenate(out) if out else np.zeros(0))
+        return pa.array(np.concatenate(out) if out else np.zeros(0))
 
-    return F.pandas_udf(run, "double")(plain(text))
+    return F.arrow_udf(run, "double")(plain(text))
