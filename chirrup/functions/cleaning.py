@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import add, and_
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from chirrup.params import FALLBACK_SENTIMENT, NULL_LITERALS
 
@@ -95,6 +96,15 @@ def engagement_total(likes: str = "likes", shares: str = "shares", comments: str
     return F.coalesce(F.col(likes), F.lit(0)) + F.col(shares) + F.col(comments)
 
 
+def digest_key(df: DataFrame, cols: Sequence[str]) -> list[Column]:
+    """Grouping keys in place of `cols`: the text columns as one 256-bit digest, so no text is shuffled."""
+    kinds = dict(df.dtypes)
+    texts = [c for c in cols if kinds[c] == "string"]
+    packed = F.to_json(F.struct(*[F.col(c) for c in texts]), {"ignoreNullFields": "false"})
+    digest = [F.unhex(F.sha2(packed, 256)).alias("_digest")] if texts else []
+    return [F.col(c).alias(f"_key_{c}") for c in cols if kinds[c] != "string"] + digest
+
+
 def engagement_known(*parts: str) -> Column:
     """Sum of the parts that are present, null only when all are missing."""
     cols = [F.col(p) for p in parts]

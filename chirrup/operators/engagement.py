@@ -11,8 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from chirrup import params as P
 from chirrup.functions import cleaning as C, text as X
 from chirrup.functions.arrays import one_row_each
-from chirrup.operators.ranking import exact_quantiles, top_per_group
-from chirrup.session import cut_lineage
+from chirrup.operators.ranking import top_per_group
 
 
 def by_platform(posts: DataFrame) -> DataFrame:
@@ -90,37 +89,74 @@ def class_shares(df: DataFrame, label: str, as_name: str = "label") -> DataFrame
 
 
 # ------------------------------------------------------------- distributions
+def _per_followers(users: DataFrame, posts: DataFrame, *sums: Column) -> DataFrame:
+    """Sums per `follower_count` over the posts of known users.
+
+    Posts are summed per author before they meet the users, so a hot author is
+    combined map-side, and then per follower count.
+    """
+    names = [f"s{i}" for i in range(len(sums))]
+    per_user = posts.groupBy("user_id").agg(*[s.cast("double").alias(n) for s, n in zip(sums, names, strict=True)])
+    known = users.select("user_id", "follower_count").filter(F.col("follower_count").isNotNull())
+    return per_user.join(known, "user_id").groupBy("follower_count").agg(*[F.sum(n).alias(n) for n in names])
+
+
+def _corr(x: Column, n: str, y: str, yy: str) -> Column:
+    """Pearson correlation of x with y from the number, sum and sum of squares of y per value of x."""
+    rows, sy = F.sum(n), F.sum(y)
+    sx, sxx = F.sum(x * F.col(n)), F.sum(x * x * F.col(n))
+    spread = F.sqrt((rows * sxx - sx * sx) * (rows * F.sum(yy) - sy * sy))
+    return (rows * F.sum(x * F.col(y)) - sx * sy) / F.nullif(spread, F.lit(0.0))
+
+
 def follower_correlation(users: DataFrame, posts: DataFrame) -> DataFrame:
     """Pearson correlation of followers with engagement and with likes."""
-    rated = posts.select("user_id", "likes", C.engagement_known("likes", "shares", "comments").alias("engagement"))
-    joined = rated.join(users.select("user_id", "follower_count"), "user_id", "left")
-    return joined.agg(
-        F.corr("follower_count", "engagement").alias("corr_engagement"),
-        F.corr("follower_count", F.col("likes").cast("double")).alias("corr_likes"),
-    )
+    engagement = C.engagement_known("likes", "shares", "comments").cast("double")
+    likes = F.col("likes").cast("double")
+    sums = [f(v) for v in (engagement, likes) for f in (F.count, F.sum, lambda v: F.sum(v * v))]
+    grouped = _per_followers(users, posts, *sums)
+    x = F.col("follower_count").cast("double")
+    return grouped.agg(_corr(x, "s0", "s1", "s2").alias("corr_engagement"), _corr(x, "s3", "s4", "s5").alias("corr_likes"))
 
 
 def follower_deciles(users: DataFrame, posts: DataFrame) -> DataFrame:
     """Follower cuts at 0.1 and 0.9 over post rows, mean engagement beyond.
 
-    The joined pair of columns is written once; the quantile rounds and the
-    means then scan two narrow columns instead of repeating the join.
+    The cuts are exact: rows are counted per follower count, and cumulative
+    counts give the ranks. The counts are added up in slices of the value range,
+    so no task sees more than one slice or the list of slices.
     """
-    rated = posts.select("user_id", C.engagement_known("likes", "shares", "comments").alias("engagement"))
-    joined = cut_lineage(
-        rated.join(users.select("user_id", "follower_count"), "user_id", "left")
-        .select("follower_count", "engagement")
-        .filter(F.col("follower_count").isNotNull())
-    )
-    cuts = exact_quantiles(joined, "follower_count", ["0.1", "0.9"])
-    low, high = F.lit(cuts.get("0.1")).cast("double"), F.lit(cuts.get("0.9")).cast("double")
-    followers = F.col("follower_count")
-    means = joined.agg(
-        F.avg(F.when(followers >= high, F.col("engagement"))).alias("top_mean"),
-        F.avg(F.when(followers <= low, F.col("engagement"))).alias("bottom_mean"),
-    )
+    engagement = C.engagement_known("likes", "shares", "comments")
+    grouped = _per_followers(users, posts, F.count(F.lit(1)), F.sum(engagement), F.count(engagement))
+    values = grouped.select(F.col("follower_count").alias("v"), F.col("s0").alias("n"), F.coalesce("s1", F.lit(0.0)).alias("total"), F.col("s2").alias("rated"))
+    ladder = _weighted_ranks(values)
+    ends = []
+    for p, name in ((0.1, "low"), (0.9, "high")):
+        spot = p * (F.col("rows") - 1)
+        below, above = (F.min(F.when(F.col("upto") > f(spot), F.col("v"))) for f in (F.floor, F.ceil))
+        part = F.max(spot - F.floor(spot))
+        ends.append((below + (above - below) * part).cast("double").alias(name))
+    cuts = ladder.agg(F.struct(*ends).alias("cuts")).scalar()
+
+    def mean(side: Column) -> Column:
+        return F.sum(F.when(side, F.col("total"))) / F.nullif(F.sum(F.when(side, F.col("rated"))), F.lit(0.0))
+
+    means = values.agg(mean(F.col("v") >= cuts["high"]).alias("top_mean"), mean(F.col("v") <= cuts["low"]).alias("bottom_mean"))
     gap = F.abs(F.col("top_mean") - F.col("bottom_mean")) / F.nullif(F.col("bottom_mean"), F.lit(0.0)) * 100
-    return means.select(high.alias("top_cut"), low.alias("bottom_cut"), "top_mean", "bottom_mean", gap.alias("gap_pct"))
+    return means.select(cuts["high"].alias("top_cut"), cuts["low"].alias("bottom_cut"), "top_mean", "bottom_mean", gap.alias("gap_pct"))
+
+
+SLICE_BITS = 12  # follower counts that share all but these low bits are ranked in one task
+
+
+def _weighted_ranks(values: DataFrame) -> DataFrame:
+    """values(v, n) with `upto`, the rows at or below v, and `rows`, all rows."""
+    sliced = values.withColumn("slice", F.shiftright("v", SLICE_BITS))
+    sizes = sliced.groupBy("slice").agg(F.sum("n").alias("size"))
+    before = Window.partitionBy().orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("slice", F.coalesce(F.sum("size").over(before), F.lit(0.0)).alias("offset"), F.sum("size").over(Window.partitionBy()).alias("rows"))
+    inside = Window.partitionBy("slice").orderBy("v")
+    return sliced.withColumn("upto", F.sum("n").over(inside)).join(offsets, "slice").withColumn("upto", F.col("upto") + F.col("offset"))
 
 
 def platform_spread(posts: DataFrame) -> DataFrame:
@@ -204,9 +240,9 @@ def duplicate_rate_by_month(raw: DataFrame) -> DataFrame:
     Copies are counted by grouping on all columns (combined map-side) rather
     than with a window that would gather every copy in one task.
     """
-    copies = raw.groupBy(*raw.columns).agg(F.count(F.lit(1)).alias("copies"))
+    copies = raw.withColumn("_month", raw_month()).groupBy("_month", *C.digest_key(raw, raw.columns)).agg(F.count(F.lit(1)).alias("copies"))
     twin_rows = F.sum(F.when(F.col("copies") > 1, F.col("copies")).otherwise(0))
-    return copies.groupBy(raw_month().alias("month")).agg(
+    return copies.groupBy(F.col("_month").alias("month")).agg(
         F.sum("copies").alias("n"), (twin_rows / F.sum("copies")).alias("duplicate_rate")
     )
 

@@ -93,7 +93,7 @@ def duplicate_profile(raw: DataFrame, keys: dict[str, Sequence[str]]) -> DataFra
     for name, cols in keys.items():
         n = F.col("n")
         one = (
-            raw.groupBy(*cols)
+            raw.groupBy(*C.digest_key(raw, cols))
             .agg(F.count(F.lit(1)).alias("n"))
             .agg(
                 F.coalesce(F.sum(n - 1), F.lit(0)).alias("extra_rows"),
@@ -164,7 +164,7 @@ def label_consistency(df: DataFrame, text: str, labels: Sequence[str]) -> DataFr
     Minimum and maximum differ exactly when there are two or more labels, and
     unlike a distinct count they combine map-side in constant space.
     """
-    groups = df.groupBy(text).agg(
+    groups = df.groupBy(*C.digest_key(df, [text])).agg(
         F.count(F.lit(1)).alias("n"),
         *[(F.min(c) != F.max(c)).alias(f"mixed_{c}") for c in labels],
     )

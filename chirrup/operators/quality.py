@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from chirrup import params as P
 from chirrup.functions import text as X
+from chirrup.functions.cleaning import digest_key
 from chirrup.operators.evaluation import PRED, TRUE
 
 
@@ -42,7 +43,7 @@ def all_of(*suites: DataFrame) -> DataFrame:
 
 def repeated(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row per copy beyond the first of each key."""
-    counts = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    counts = df.groupBy(*digest_key(df, cols)).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
     return counts.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("violations"))
 
 

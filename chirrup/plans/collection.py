@@ -83,7 +83,7 @@ def _event_stream(spark, d):
 
 def stream_timeline(spark, d):
     ordinary, _ = ST.split_future(_event_stream(spark, d))
-    out = ST.run_to_table(ST.hourly_windows(ordinary), "timeline")
+    out = ST.run_hourly(ordinary, "timeline")
     return out.withColumn("hour", F.date_format("hour", "yyyy-MM-dd HH:mm:ss"))
 
 
@@ -144,8 +144,7 @@ QUERIES: dict[str, Query] = {
         SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour, count(*) AS post_count,
                CAST(sum(CAST(floor(value) AS BIGINT)) AS BIGINT) AS total_engagement,
                count(*) FILTER (WHERE label = 'Negative') AS n_negative, count(*) FILTER (WHERE label = 'Positive') AS n_positive
-        FROM e GROUP BY date_trunc('hour', ts)
-        HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR FROM e)"""),
+        FROM e GROUP BY date_trunc('hour', ts)"""),
     "stream_future_rows": Query(stream_future, f"SELECT event_id AS post_id, {_SENT} AS sentiment_label FROM events WHERE event_id % 50 = 0"),
     "stream_merge_posts": Query(stream_merge, f"SELECT 'post/' || event_id AS post_uri, {_SENT} AS sentiment_label, event_id AS arrival FROM events"),
     "stream_dedup": Query(stream_dedup, f"SELECT 'post/' || event_id AS post_uri, {_SENT} AS sentiment_label FROM events"),

@@ -161,7 +161,7 @@ def weights(spark, d):
 
 
 def learnable(spark, d):
-    rows = cut_lineage(labelled(spark, d).select("text_id", "text_clean", "topic_category"), "text_id")
+    rows = cut_lineage(labelled(spark, d).select("text_id", F.col("post_text").alias("text_clean"), "topic_category"), "text_id")
     return M.learnability(rows, "topic_category", tuple(P.TOPIC_LABELS))
 
 
@@ -178,6 +178,22 @@ _SPLIT = dict(
     rows_="SELECT lab.*, split FROM lab JOIN sp USING (text_clean)",
 )
 _ROWS = S.with_views("labelled", **_LAB, **_SPLIT)
+# Priors and terms smoothed by one, as the fitted estimator does; vocabulary and weights come from the training part.
+_NB = S.with_views(
+    "labelled", **_LAB, **_SPLIT, tr="SELECT * FROM rows_ WHERE split = 'train'", te="SELECT * FROM rows_ WHERE split = 'test'",
+    **word_terms("tr", "text_id", "text_clean"),
+    cs="SELECT sentiment_label AS c, term, sum(w / norm) AS s FROM wt JOIN tr USING (text_id) GROUP BY ALL",
+    ct="SELECT sentiment_label AS c, count(*) AS n FROM tr GROUP BY 1",
+    tot="""SELECT c, ln((n + 1) / (SELECT sum(n) + count(*) FROM ct)) AS lp,
+           ln(coalesce((SELECT sum(s) FROM cs WHERE cs.c = ct.c), 0) + (SELECT count(*) FROM voc)) AS lt FROM ct""",
+    ek=f"SELECT text_id, {S.word_tokens('text_clean')} AS k FROM te",
+    et=f"SELECT text_id, term, count(*) AS tf FROM (SELECT text_id, unnest(list_concat(k, {S.bigrams('k')})) AS term FROM ek) GROUP BY ALL",
+    ew="SELECT text_id, term, (1 + ln(tf)) * idf AS w, sqrt(sum(((1 + ln(tf)) * idf) ** 2) OVER (PARTITION BY text_id)) AS norm FROM et JOIN voc USING (term)",
+    gain="SELECT text_id, c, sum(w / norm * ln(s + 1)) AS g FROM ew JOIN cs USING (term) GROUP BY ALL",
+    mass="SELECT text_id, sum(w / norm) AS m FROM ew GROUP BY 1",
+    scored="""SELECT te.text_id, tot.c, lp + coalesce(g, 0) - coalesce(m, 0) * lt AS score FROM te JOIN tot ON true
+              LEFT JOIN gain ON gain.text_id = te.text_id AND gain.c = tot.c LEFT JOIN mass ON mass.text_id = te.text_id""",
+)
 _PRED = dict(pred=f"""SELECT text_id, text_clean, sentiment_label AS t, CASE WHEN len({S.words('text_clean')}) < 60 THEN 'Neutral'
     WHEN length(text_clean) % 4 = 0 THEN 'Negative' ELSE 'Positive' END AS p FROM lab""")
 _P = S.with_views("labelled", **_LAB, **_PRED)
@@ -263,7 +279,9 @@ QUERIES: dict[str, Query] = {
         FROM lab JOIN tot ON true LEFT JOIN gain ON gain.text_id = lab.text_id AND gain.c = tot.c LEFT JOIN mass ON mass.text_id = lab.text_id"""),
     "lr_sentiment": Query(lambda s, d: _fit_and_score(s, d, M.ModelSpec("word+lr", (M.WORD,), "lr"))),
     "svm_sentiment": Query(lambda s, d: _fit_and_score(s, d, M.ModelSpec("char+svm", (M.CHAR,), "svm"))),
-    "nb_sentiment": Query(lambda s, d: _fit_and_score(s, d, M.ModelSpec("word+nb", (M.WORD,), "nb"))),
+    "nb_sentiment": Query(lambda s, d: _fit_and_score(s, d, M.ModelSpec("word+nb", (M.WORD,), "nb")), f"""{_NB}
+        SELECT te.text_id, te.sentiment_label AS true_label, best.c AS predicted_label, te.sentiment_label = best.c AS correct
+        FROM te JOIN (SELECT text_id, arg_max(c, score) AS c FROM scored GROUP BY 1) best USING (text_id)"""),
     "union_features": Query(lambda s, d: _fit_and_score(s, d, M.ModelSpec("char+word+lr", (M.CHAR, M.WORD), "lr"))),
     "balanced_lr": Query(lambda s, d: _fit_and_score(s, d, M.ModelSpec("char+lr balanced", (M.CHAR,), "lr", balanced=True))),
     "baseline_models": Query(baseline_models),

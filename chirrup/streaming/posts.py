@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -30,23 +31,48 @@ def split_future(stream: DataFrame, created: str = "ts", collected: str = "colle
     return stream.filter(~future), stream.filter(future)
 
 
-def hourly_windows(stream: DataFrame, ts: str = "ts", delay: str = "1 hour", series: Sequence[str] = ()) -> DataFrame:
-    """Tumbling one-hour counts; a window is emitted once, when it is closed."""
+MEASURES = ("post_count", "total_engagement", "n_negative", "n_positive")
+
+
+def hourly_counts(posts: DataFrame, ts: str = "ts", series: Sequence[str] = ()) -> DataFrame:
+    """Counts per tumbling hour of one batch."""
     label = F.col("sentiment_label")
     return (
-        stream.withColumn(ts, F.col(ts).cast("timestamp"))
-        .withWatermark(ts, delay)
-        .groupBy(F.window(ts, "1 hour"), *series)
+        posts.groupBy(F.window(F.col(ts).cast("timestamp"), "1 hour").alias("window"), *series)
         .agg(
             F.count(F.lit(1)).alias("post_count"),
             F.sum("engagement").alias("total_engagement"),
             F.count_if(label == "Negative").alias("n_negative"),
             F.count_if(label == "Positive").alias("n_positive"),
         )
-        .select(F.col("window.start").alias("hour"), *series, "post_count", "total_engagement", "n_negative", "n_positive")
+        .select(F.col("window.start").alias("hour"), *series, *MEASURES)
     )
 
 
+def run_name(checkpoint: str) -> str:
+    """The name under which a checkpoint's batches are stored; replays of one checkpoint agree."""
+    return "r" + hashlib.md5(checkpoint.encode()).hexdigest()[:12]
+
+
+def start_hourly(stream: DataFrame, path: str, checkpoint: str, ts: str = "ts", series: Sequence[str] = ()) -> StreamingQuery:
+    """Store each batch's hour counts; a replayed batch overwrites its own folder.
+
+    Counts add up, so rows of any age are merged when the table is read, and
+    the last hours are there before they close. There is no watermark and no state.
+    """
+    run = run_name(checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        hourly_counts(batch, ts, series).write.mode("overwrite").parquet(f"{path}/run={run}/batch={batch_id}")
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_hourly(spark: SparkSession, path: str, series: Sequence[str] = ()) -> DataFrame:
+    """The timeline over all stored batches."""
+    return spark.read.parquet(path).groupBy("hour", *series).agg(*[F.sum(m).alias(m) for m in MEASURES])
+
+
 def first_within_watermark(stream: DataFrame, key: str, ts: str = "ts", delay: str = "1 day") -> DataFrame:
     """First arrival per key while the key is within the watermark horizon."""
     return stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
@@ -63,28 +89,30 @@ def start_to_table(stream: DataFrame, path: str, checkpoint: str) -> StreamingQu
     )
 
 
-def merge_batch(path: str, key: str, arrival: str) -> Callable[[DataFrame, int], None]:
-    """`foreachBatch` writer keeping the first row per key over all batches.
+def merge_batch(path: str, key: str, arrival: str, run: str) -> Callable[[DataFrame, int], None]:
+    """`foreachBatch` writer keeping the first row per key over all batches and runs.
 
     Only keys not stored yet are appended, without any time horizon. A batch
     goes to its own folder, overwritten when the batch is replayed, and is
-    compared with earlier batches only; a replay thus gives the same rows.
+    compared with the earlier batches of its run and with all other runs; a
+    replay thus gives the same rows, and a new checkpoint on a stored table
+    adds to it.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         unique = merge_first_seen(batch.limit(0), batch, key, arrival).drop("is_new")
-        if batch_id:
-            stored = spark.read.schema(batch.schema).parquet(path).filter(F.col("batch") < batch_id)
-            unique = unique.join(stored.select(key), key, "left_anti")
-        unique.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        stored = batch.sparkSession.read.schema(batch.schema).parquet(path)
+        earlier = stored.filter((F.col("run") != run) | (F.col("batch") < batch_id)).select(key)
+        unique.join(earlier, key, "left_anti").write.mode("overwrite").parquet(f"{path}/run={run}/batch={batch_id}")
 
     return write
 
 
 def start_merge(stream: DataFrame, path: str, checkpoint: str, key: str = "post_uri", arrival: str = "arrival") -> StreamingQuery:
+    # An empty part, so that the first batch finds a table to compare with.
+    stream.sparkSession.createDataFrame([], stream.schema).write.mode("overwrite").parquet(f"{path}/run=none/batch=0")
     return (
-        stream.writeStream.foreachBatch(merge_batch(path, key, arrival))
+        stream.writeStream.foreachBatch(merge_batch(path, key, arrival, run_name(checkpoint)))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -103,4 +131,10 @@ def run_merge(stream: DataFrame, name: str, key: str = "post_uri", arrival: str
     spark = stream.sparkSession
     root = fresh_dir(spark, name)
     start_merge(stream, f"{root}/rows", f"{root}/state", key, arrival).awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{root}/rows").drop("batch")
+    return spark.read.schema(stream.schema).parquet(f"{root}/rows").drop("run", "batch")
+
+
+def run_hourly(stream: DataFrame, name: str) -> DataFrame:
+    root = fresh_dir(stream.sparkSession, name)
+    start_hourly(stream, f"{root}/rows", f"{root}/state").awaitTermination()
+    return read_hourly(stream.sparkSession, f"{root}/rows")

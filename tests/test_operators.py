@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chirrup import params as P
+from chirrup.functions import cleaning as C
 from chirrup.operators import clean as CL, evaluation as EV, models as M, quality as Q, ranking as R, splits as SP
 from chirrup.operators import timeline as TL, triggers as TR
 from chirrup.sources import artifacts as A, collect as CO, files as FI, roles
@@ -169,3 +170,42 @@ def test_model_round_trip(spark, tmp_path):
         assert {r["text_id"]: r["label"] for r in M.batch_labels(again, raw).collect()} == {1: "Positive", 2: "Negative"}
     weights = M.feature_weights(model, n=3).filter("label = 'Positive' AND direction = 'positive'").count()
     assert weights == 3
+
+
+def _stream_of(spark, folder, schema):
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def test_stream_merge_survives_restarts(spark, tmp_path):
+    from chirrup.streaming import posts as ST
+
+    schema, source, out = "post_uri string, arrival int", f"{tmp_path}/in", f"{tmp_path}/out"
+    for k, rows in enumerate(([("a", 1), ("b", 2)], [("b", 3), ("c", 4)])):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        ST.start_merge(_stream_of(spark, source, schema), out, f"{tmp_path}/first").awaitTermination()
+    spark.createDataFrame([("c", 9), ("d", 5)], schema).coalesce(1).write.mode("append").parquet(source)
+    ST.start_merge(_stream_of(spark, source, schema), out, f"{tmp_path}/second").awaitTermination()
+    rows = spark.read.parquet(out)
+    assert sorted((r.post_uri, r.arrival) for r in rows.collect()) == [("a", 1), ("b", 2), ("c", 4), ("d", 5)]
+    replay = ST.merge_batch(out, "post_uri", "arrival", ST.run_name(f"{tmp_path}/first"))
+    replay(spark.createDataFrame([("b", 3), ("c", 4)], schema), 1)
+    assert spark.read.parquet(out).count() == 4
+
+
+def test_stream_hours_keep_late_and_open_rows(spark, tmp_path):
+    from chirrup.streaming import posts as ST
+
+    schema, source, out = "ts timestamp, engagement long, sentiment_label string", f"{tmp_path}/in", f"{tmp_path}/out"
+    for day, hour in ((9, 12), (1, 3), (9, 12)):  # the second file is eight days late
+        at = dt.datetime(2024, 5, day, hour, 10, tzinfo=dt.timezone.utc)
+        spark.createDataFrame([(at, 2, "Positive"), (at, 3, "Negative")], schema).coalesce(1).write.mode("append").parquet(source)
+        ST.start_hourly(_stream_of(spark, source, schema), out, f"{tmp_path}/state").awaitTermination()
+    got = sorted((r.post_count, r.total_engagement, r.n_negative, r.n_positive) for r in ST.read_hourly(spark, out).collect())
+    assert got == [(2, 5, 1, 1), (4, 10, 2, 2)]
+
+
+def test_digest_key_tells_nulls_from_texts(spark):
+    rows = [("a", None, 1), ("a", None, 1), ("a", "null", 1), ("a,", "b", 2), ("a", ",b", 2)]
+    df = spark.createDataFrame(rows, "x string, y string, n int")
+    assert df.groupBy(*C.digest_key(df, df.columns)).count().count() == 4
+    assert Q.repeated(df, df.columns).head()[0] == 1
