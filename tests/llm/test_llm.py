@@ -227,3 +227,20 @@ def test_pipeline(spark, folder):
             by[x].add(i)
     pairs = {(a, b) for s in by.values() if 1 < len(s) < 30 for a in s for b in s if a < b}
     assert not [p for p in pairs if len(own[p[0]] & own[p[1]]) > 0.85 * len(own[p[0]] | own[p[1]])]
+
+
+def shares(rows, a, b, places):
+    """Whether a row of the pair covers the word places on both sides."""
+    (s, e), (p, q) = places
+    return any((r.doc_id, r.partner_id) == (x, y) and r.start_word <= i and j <= r.end_word and r.partner_start <= k and m <= r.partner_end
+               for r in rows for x, y, i, j, k, m in ((a, b, s, e, p, q), (b, a, p, q, s, e)))
+
+
+def test_repeated_passages_with_a_repeated_line(spark):
+    rows = []
+    for i in range(20):  # the line stands alone first, in the passage later; the passages differ in one word
+        line, rest, end = prose(f"l{i}", 40), prose(f"e{i}", 8), prose(f"f{i}", 11)
+        rows += [(2 * i, " ".join((prose(f"a{i}", 60), line, prose(f"b{i}", 60), line, rest, "one", end, prose(f"c{i}", 60)))),
+                 (2 * i + 1, " ".join((prose(f"d{i}", 60), line, rest, "two", end, prose(f"g{i}", 60))))]
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(shares(found, 2 * i, 2 * i + 1, ((160, 219), (60, 119))) for i in range(20))
