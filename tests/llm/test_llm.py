@@ -236,6 +236,17 @@ def shares(rows, a, b, places):
                for r in rows for x, y, i, j, k, m in ((a, b, s, e, p, q), (b, a, p, q, s, e)))
 
 
+def test_repeated_passages_beside_a_frequent_line(spark):
+    line = prose("line", 36)
+    rows = [(i, prose(f"r{i}", 60) + " " + line + " " + prose(f"s{i}", 60)) for i in range(200)]
+    for i in range(30):  # pairs that share 14 words more than the line
+        more = line + " " + prose(f"m{i}", 14)
+        rows += [(1000 + 2 * i + j, prose(f"u{i}{j}", 60) + " " + more + " " + prose(f"v{i}{j}", 60)) for j in (0, 1)]
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(shares(found, 1000 + 2 * i, 1001 + 2 * i, ((60, 109), (60, 109))) for i in range(30))
+    assert {(r.doc_id // 2, r.partner_id // 2) for r in found} == {(500 + i, 500 + i) for i in range(30)}
+
+
 def test_repeated_passages_with_a_repeated_line(spark):
     rows = []
     for i in range(20):  # the line stands alone first, in the passage later; the passages differ in one word
