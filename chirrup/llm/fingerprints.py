@@ -1,14 +1,17 @@
 """Document fingerprints by consistent weighted sampling over word frequencies.
 
-A term of weight w draws r, c ~ Gamma(2,1) and b ~ U(0,1) from its own hash,
-t = floor(ln w / r + b) and ln a = ln c - r (t - b + 1). Terms are dealt over
-128 bins by another hash; the term with the smallest a of a bin gives the
-bin's sample (term, t). Two documents agree in a bin with probability equal to
-the generalised Jaccard similarity of their weights there, so the share of
-agreeing bins, among bins that either fills, estimates that of the documents.
-One evaluation per term instead of one per term and sample keeps the work
-linear in the text. A document that fills all 128 bins gives 128 samples; one of
-fewer terms is compared on nearly all of its terms.
+The first, second, ... occurrence of a term is dealt into one of 128 bins by a
+hash of the term and its number, so a term's weight spreads over the bins and
+each bin is a fair sample of all occurrences. A term of weight w in a bin draws r, c ~
+Gamma(2,1) and b ~ U(0,1) from a hash of term and bin, t = floor(ln w / r + b)
+and ln a = ln c - r (t - b + 1); the term with the smallest a gives the bin's
+sample (term, t). Two documents agree in a bin with probability equal to the
+generalised Jaccard similarity of their weights there. Its mean over the dealing is the
+similarity of the documents, as every occurrence of their union is as likely to
+be in the bin, so the share of agreeing bins, among bins that either fills, is
+unbiased whatever the weights. At most one evaluation per occurrence instead of one
+per term and sample keeps the work linear in the text. A document that fills all
+128 bins gives 128 samples.
 """
 
 from __future__ import annotations
@@ -23,20 +26,25 @@ BINS = 128
 ROWS_PER_RANGE, LEAST_RANGES, MOST_RANGES = 20_000, 256, 4096
 
 
-def _uniform(term: Column, draw: int) -> Column:
-    return (F.shiftrightunsigned(F.xxhash64(term, F.lit(draw)), 11).cast("double") + 0.5) * F.lit(2.0 ** -53)
+def _uniform(term: Column, spot: Column, draw: int) -> Column:
+    return (F.shiftrightunsigned(F.xxhash64(term, spot, F.lit(draw)), 11).cast("double") + 0.5) * F.lit(2.0 ** -53)
 
 
-def sample(term: Column, weight: Column) -> tuple[Column, Column]:
-    """(bin, packed) of one weighted term; the smallest `packed` of a bin holds a 31-bit rank and a 16-bit sample id."""
-    r = -F.ln(_uniform(term, 1) * _uniform(term, 2))
-    ln_c = F.ln(-F.ln(_uniform(term, 3) * _uniform(term, 4)))
-    beta = _uniform(term, 5)
+def dealt(term: Column, count: Column) -> Column:
+    """The bin of each occurrence of a term."""
+    return F.transform(F.sequence(F.lit(1).cast("long"), count), lambda i: F.xxhash64(term, i, F.lit(6)).bitwiseAND(F.lit(BINS - 1)))
+
+
+def sample(term: Column, spot: Column, weight: Column) -> Column:
+    """`packed` of a term of `weight` in bin `spot`; the smallest of a bin holds a 31-bit rank and a 16-bit sample id."""
+    r = -F.ln(_uniform(term, spot, 1) * _uniform(term, spot, 2))
+    ln_c = F.ln(-F.ln(_uniform(term, spot, 3) * _uniform(term, spot, 4)))
+    beta = _uniform(term, spot, 5)
     t = F.floor(F.ln(weight) / r + beta)
     ln_a = ln_c - r * (t - beta + 1)
     rank = F.greatest(F.least(((ln_a + 256) * float(1 << 22)).cast("long"), F.lit((1 << 31) - 1)), F.lit(0).cast("long"))
     ident = F.xxhash64(term, t).bitwiseAND(F.lit(0xFFFF))
-    return F.xxhash64(term, F.lit(6)).bitwiseAND(F.lit(BINS - 1)), F.shiftleft(rank, 16).bitwiseOR(ident)
+    return F.shiftleft(rank, 16).bitwiseOR(ident)
 
 
 def entries(parts: Column) -> Column:
@@ -120,8 +128,10 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                     F.struct(F.lit(2).alias("side"), F.array(F.lit(0).cast("long")).alias("terms"), meta.alias("meta")))
     terms = rows.select("range", "rn", F.inline(sides)).select("range", "rn", "side", "meta", F.explode("terms").alias("term"))
     counted = terms.groupBy("range", "rn", "side", "meta", "term").agg(F.count(F.lit(1)).alias("w"))
-    at, packed = sample(F.col("term"), F.col("w"))
-    least = counted.select("range", "rn", "side", "meta", at.alias("bin"), packed.alias("packed")).groupBy("range", "rn", "side", "meta", "bin").agg(F.min("packed").alias("packed"))
+    spread = counted.select("range", "rn", "side", "meta", "term", F.explode(dealt(F.col("term"), F.col("w"))).alias("bin"))
+    weighed = spread.groupBy("range", "rn", "side", "meta", "term", "bin").agg(F.count(F.lit(1)).alias("w"))
+    packed = sample(F.col("term"), F.col("bin"), F.col("w"))
+    least = weighed.select("range", "rn", "side", "meta", "bin", packed.alias("packed")).groupBy("range", "rn", "side", "meta", "bin").agg(F.min("packed").alias("packed"))
     pair = F.struct(F.col("bin"), F.col("packed"))
     both = least.groupBy("range", "rn").agg(
         F.first("meta", ignorenulls=True).alias("meta"),

@@ -255,3 +255,14 @@ def test_repeated_passages_with_a_repeated_line(spark):
                  (2 * i + 1, " ".join((prose(f"d{i}", 60), line, rest, "two", end, prose(f"g{i}", 60))))]
     found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert all(shares(found, 2 * i, 2 * i + 1, ((160, 219), (60, 119))) for i in range(20))
+
+
+def test_fingerprints_of_skewed_weights(spark):
+    # One word 500 times in front, ten others behind, which the edit replaces together with half of the copies.
+    texts = ["the " * 500 + prose(f"k{i}", 20 + 10 * (i % 5)) for i in range(40)]
+    got = {r.doc_id: r for r in fingerprints.fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    gaps = []
+    for i in range(40):
+        a, b = collections.Counter(texts[i].split()), collections.Counter(texts[(i + 1) % 40].split())
+        gaps.append(got[i].near_next - sum((a & b).values()) / sum((a | b).values()))
+    assert abs(np.mean(gaps)) < 0.03 and np.std(gaps) < 0.09
