@@ -2,13 +2,14 @@
 
 A logistic model over the hashed words and byte 4-grams that occur in a text. For every labelled
 text that names a group, each swap of the group's name for another of the same kind is a
-counterfactual; the squared change of the model's output over all swaps is part
-of the loss, so a group's name alone does not move the score.
+counterfactual: the swapped text is built and hashed like the text itself, and the squared
+change of the model's output over all features and swaps is part of the loss,
+so neither a group's name nor its 4-grams move the score alone.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -73,25 +74,51 @@ def evidence(held: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return 2 * (entropy(held[0], rows[0]) + entropy(held[1], rows[1]) - entropy(held[0] + held[1], rows.sum()))
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for batch in slices(whole, "plain"):
-            doc, ids = _word_ids(batch.column("plain"))
-            offs = np.searchsorted(doc, np.arange(len(batch) + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.ListArray.from_arrays(pa.array(offs), pa.array(ids.astype(np.int32)))], ["y", "ids"])
+def swapped(text: str, ids: np.ndarray, identities: tuple[tuple[str, ...], ...] = IDENTITIES) -> list[tuple[float, np.ndarray, np.ndarray]]:
+    """(share, features the swap takes away, features it adds) of each swap of a group's name; the swaps of a name share 1."""
+    out = []
+    words = text.split(" ")
+    held = set(words)
+    for kind in identities:
+        for name in kind:
+            if name in held:
+                for other in kind:
+                    if other != name:
+                        new = np.unique(_word_ids(pa.array([" ".join(other if w == name else w for w in words)]))[1])
+                        out.append((1 / (len(kind) - 1), np.setdiff1d(ids, new), np.setdiff1d(new, ids)))
+    return out
 
 
-def swaps(present: np.ndarray, identities: tuple[tuple[str, ...], ...] = IDENTITIES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(from, to, n): swaps of group names over the sampled texts; `present` counts texts per bucket."""
-    src, dst, n = [], [], []
-    for kind in identities:
-        ids = [name_bucket(w) for w in kind]
-        for a in ids:
-            if present[a]:
-                for b in ids:
-                    if a != b:
-                        src.append(a), dst.append(b), n.append(present[a] / (len(ids) - 1))
-    return np.array(src, np.int64), np.array(dst, np.int64), np.array(n, float)
+_SETS = "y int, ids array<int>, swaps array<struct<share:double,gone:array<int>,new:array<int>>>"
+
+
+def _sets(identities: tuple[tuple[str, ...], ...]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    kind = pa.list_(pa.struct([("share", pa.float64()), ("gone", pa.list_(pa.int32())), ("new", pa.list_(pa.int32()))]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "plain"):
+                doc, ids = _word_ids(batch.column("plain"))
+                offs = np.searchsorted(doc, np.arange(len(batch) + 1)).astype(np.int32)
+                swaps = [[{"share": n, "gone": gone.astype(np.int32), "new": new.astype(np.int32)} for n, gone, new in swapped(text.as_py(), ids[i:j], identities)]
+                         for text, i, j in zip(batch.column("plain"), offs[:-1], offs[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("y"), pa.ListArray.from_arrays(pa.array(offs), pa.array(ids.astype(np.int32))), pa.array(swaps, kind)], ["y", "ids", "swaps"])
+
+    return run
+
+
+def _changes(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(swap, feature, sign) of what every swap takes away (1) and adds (-1), and the share of each swap."""
+    every = rows.column("swaps").combine_chunks().flatten()
+    swap, feature, sign = [], [], []
+    for name, side in (("gone", 1.0), ("new", -1.0)):
+        lists = every.field(name)
+        values = lists.flatten().to_numpy().astype(np.int64)
+        swap.append(np.repeat(np.arange(len(every)), lists.value_lengths().to_numpy()))
+        feature.append(values)
+        sign.append(np.full(len(values), side))
+    return np.concatenate(swap), np.concatenate(feature), np.concatenate(sign), every.field("share").to_numpy()
 
 
 def train(sample: DataFrame, counts: dict[int, int], swap: float = SWAP, identities: tuple[tuple[str, ...], ...] = IDENTITIES) -> np.ndarray:
@@ -100,7 +127,7 @@ def train(sample: DataFrame, counts: dict[int, int], swap: float = SWAP, identit
     Classes are weighted to their shares among all allowed labels. Without rows of
     both classes the model is the offset alone.
     """
-    rows = sample.select("y", plain(F.col("text")).alias("plain")).mapInArrow(_sets, "y int, ids array<int>").toArrow()
+    rows = sample.select("y", plain(F.col("text")).alias("plain")).mapInArrow(_sets(identities), _SETS).toArrow()
     y = rows.column("y").to_numpy().astype(float)
     prior = (counts.get(1, 0) + 1.0) / (sum(counts.values()) + 2.0)
     model = np.zeros(BUCKETS + 1)
@@ -110,27 +137,26 @@ def train(sample: DataFrame, counts: dict[int, int], swap: float = SWAP, identit
     lists = rows.column("ids").combine_chunks()
     size = np.diff(lists.offsets.to_numpy())
     ids, doc = lists.flatten().to_numpy().astype(np.int64), np.repeat(np.arange(len(y)), size)
-    present = np.bincount(ids, minlength=BUCKETS)
-    src, dst, n = swaps(present, identities)
+    of, changed, sign, n = _changes(rows)
     held = np.array([np.bincount(ids[y[doc] == c], minlength=BUCKETS) for c in (0, 1)], float)
     common = evidence(held, np.array([(y == 0).sum(), (y == 1).sum()], float)) >= EVIDENCE
-    common[np.concatenate((src, dst))] = True
+    common[changed] = True
     ok = common[ids]
     ids, doc = ids[ok], doc[ok]
     weight = np.where(y == 1, prior / (y == 1).sum(), (1 - prior) / (y == 0).sum())
     used = np.flatnonzero(common)
     place = np.zeros(BUCKETS, np.int64)
     place[used] = np.arange(len(used))
-    ids, src, dst, n = place[ids], place[src], place[dst], swap * n / len(y)
+    ids, changed, n = place[ids], place[changed], swap * n / len(y)
     w, b, past = np.zeros(len(used)), model[-1], np.full(len(used), 1e-6)
     past_b = 1e-6
     for _ in range(ROUNDS):
         z = np.bincount(doc, weights=w[ids], minlength=len(y)) + b
         err = weight * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y)
         grad = np.bincount(ids, weights=err[doc], minlength=len(used)) + RIDGE * w
-        if len(src):
-            gap = 2 * n * (w[src] - w[dst])
-            grad += np.bincount(src, weights=gap, minlength=len(used)) - np.bincount(dst, weights=gap, minlength=len(used))
+        if len(changed):
+            gap = 2 * n * np.bincount(of, weights=sign * w[changed], minlength=len(n))
+            grad += np.bincount(changed, weights=sign * gap[of], minlength=len(used))
         past += grad * grad
         past_b += err.sum() ** 2
         w -= RATE * grad / np.sqrt(past)

@@ -266,3 +266,16 @@ def test_fingerprints_of_skewed_weights(spark):
         a, b = collections.Counter(texts[i].split()), collections.Counter(texts[(i + 1) % 40].split())
         gaps.append(got[i].near_next - sum((a & b).values()) / sum((a | b).values()))
     assert abs(np.mean(gaps)) < 0.03 and np.std(gaps) < 0.09
+
+
+def test_toxicity_of_swapped_sentences(spark):
+    rows = [(i, f"{prose(f't{i}', 20)} {'muslim ' if i % 3 else ''}moron", 1) for i in range(40)] + [(100 + i, prose(f"n{i}", 20), 0) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, y int")
+    sample, counts = labelled.labelled_sample(docs.drop("y"), docs.select("doc_id", F.col("y").alias("toxic")), "toxic", F.lit(True))
+    said = spark.createDataFrame([(n, f"ba ke {n} li mo") for n in ("muslim", "hindu", "sikh")], "n string, t string")
+
+    def spread(swap):
+        p = np.array([r.s for r in said.select(toxicity.toxic_score(toxicity.train(sample, counts, swap=swap), F.col("t")).alias("s")).collect()])
+        return np.ptp(np.log(p / (1 - p)))
+
+    assert spread(100.0) < 0.15 * spread(0.0)
