@@ -1,5 +1,7 @@
 """Known license wordings (fixed values): public license texts and the usual one-line notices."""
 
+from pathlib import Path
+
 MIT_GRANT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
 
 The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
@@ -34,6 +36,26 @@ http://www.apache.org/licenses/LICENSE-2.0
 
 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""
 
+BSD_3 = BSD_2.replace("\n\nTHIS SOFTWARE", """
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+
+THIS SOFTWARE""")
+
+# Full texts as files of the package; read on the driver when the list is built.
+FILES = (("Apache-2.0", "Apache-2.0"), ("GPL-2.0", "GPL-2"), ("GPL-3.0", "GPL-3"), ("LGPL-2.1", "LGPL-2.1"), ("LGPL-3.0", "LGPL-3"), ("MPL-2.0", "MPL-2.0"), ("CC0-1.0", "CC0-1.0"))
+FULL = tuple((name, (Path(__file__).parent / "license_files" / f"{file}.txt").read_text(encoding="utf-8")) for name, file in FILES)
+
+# How a notice names each license; every license has the same notices.
+NAMES = (
+    ("MIT", "the MIT License"), ("ISC", "the ISC License"), ("BSD-2-Clause", "the BSD 2-Clause License"), ("BSD-3-Clause", "the BSD 3-Clause License"),
+    ("Zlib", "the zlib License"), ("Apache-2.0", "the Apache License, Version 2.0"), ("MPL-2.0", "the Mozilla Public License, version 2.0"),
+    ("GPL-2.0", "the GNU General Public License, version 2"), ("GPL-3.0", "the GNU General Public License, version 3"),
+    ("LGPL-2.1", "the GNU Lesser General Public License, version 2.1"), ("LGPL-3.0", "the GNU Lesser General Public License, version 3"),
+    ("CC-BY-4.0", "CC BY 4.0"), ("CC-BY-SA-4.0", "CC BY-SA 4.0"), ("CC-BY-NC-4.0", "CC BY-NC 4.0"), ("CC0-1.0", "CC0 1.0"),
+)
+NOTICES = tuple((name, f"{start} under {called}.") for name, called in NAMES for start in ("Licensed", "Released", "This work is licensed"))
+
 KNOWN = (
     ("MIT", MIT_GRANT),
     ("MIT", "MIT License\n" + MIT_GRANT),
@@ -64,4 +86,7 @@ KNOWN = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-NC-4.0", "This work is licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0."),
+    ("BSD-3-Clause", BSD_3),
+    ("BSD-3-Clause", "BSD 3-Clause License\n" + BSD_3),
 )
+KNOWN = tuple(dict.fromkeys(KNOWN + NOTICES + FULL))

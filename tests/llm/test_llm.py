@@ -279,3 +279,12 @@ def test_toxicity_of_swapped_sentences(spark):
         return np.ptp(np.log(p / (1 - p)))
 
     assert spread(100.0) < 0.15 * spread(0.0)
+
+
+def test_full_license_texts_and_notices(spark):
+    from chirrup.llm.license_texts import BSD_3, FULL, NOTICES
+
+    rows = [(i, n, t, "text") for i, (n, t) in enumerate((*FULL, ("BSD-3-Clause", BSD_3)))]
+    rows += [(100 + i, n, f"hello\n{t}\nbye", "line") for i, (n, t) in enumerate(NOTICES)]
+    got = {(r.doc_id, r.license_id, r.scope) for r in licenses.scan(spark.createDataFrame([(i, t) for i, _, t, _ in rows], "doc_id long, text string")).collect()}
+    assert {(i, n, scope) for i, n, _, scope in rows} <= got
