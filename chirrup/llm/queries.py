@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chirrup.llm import decontaminate, fingerprints, labelled, language, licenses, mixture, near_dup, passages, quality, shards, toxicity
+from chirrup.llm import decontaminate, fingerprints, labelled, language, licenses, middle, mixture, near_dup, passages, quality, shards, toxicity
 from chirrup.llm.common import PLAIN_SQL, table
 from chirrup.llm.license_texts import KNOWN
 from chirrup.plans.registry import Query
@@ -61,6 +61,12 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
 
 
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    made = table(spark, folder, "documents").select("doc_id", middle.fill_in_middle(F.col("text"), F.col("doc_id")).alias("m")).select("doc_id", "m.*")
+    back = middle.restore(F.col("output"), F.col("form"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
+
+
 OP1_SQL = f"""
 WITH items AS (SELECT DISTINCT item_id, {PLAIN_SQL.format('text')} AS p FROM benchmark),
 split AS (SELECT item_id, p, string_split(p, ' ') AS w FROM items WHERE p <> ''),
@@ -150,6 +156,20 @@ parts AS (
 SELECT doc_id, license_id, scope, count(*) AS matches
 FROM (SELECT doc_id, scope, {_canonical_sql('unit')} AS c FROM parts) JOIN wording USING (c) GROUP BY doc_id, license_id, scope"""
 
+_DRAW = ", ".join(f"CAST('0x' || substr(s, {1 + 8 * i}, 8) AS BIGINT) AS h{i + 1}" for i in range(4))
+OP11_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS s FROM documents),
+u AS (SELECT doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS u, {_DRAW} FROM d),
+c AS (
+  SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS lo, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS hi,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, array_to_string(u[1:lo], '') AS pre, array_to_string(u[lo + 1:hi], '') AS mid, array_to_string(u[hi + 1:], '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+              ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p"""
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": Query(op1, OP1_SQL),
     "op2_near_duplicates": Query(op2, OP2_SQL),
@@ -161,4 +181,5 @@ QUERIES: dict[str, Query] = {
     "op8_shards": Query(op8, OP8_SQL),
     "op9_fingerprints": Query(op9),
     "op10_licenses": Query(op10, OP10_SQL),
+    "op11_fill_in_middle": Query(op11, OP11_SQL),
 }
