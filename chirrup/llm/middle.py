@@ -14,12 +14,15 @@ expressions, so other columns of any name stay as they are.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
+from chirrup.llm.common import slices
+
 PREFIX, SUFFIX, MIDDLE = b"<P>", b"<S>", b"<M>"
 _WIDE = len(PREFIX)
 _BLOCK = 1 << 20  # bytes scanned at once
@@ -45,8 +48,12 @@ def fill_in_middle(text: Column, key: Column, params: MiddleParams = MiddleParam
     """struct(n units, form, prefix_chars, middle_chars, output) of a text, drawn by its key."""
 
     def run(texts: pa.Array, keys: pa.Array) -> pa.Array:
-        rows = [_transformed(t.as_buffer() if t.is_valid else b"", k.as_py(), params) for t, k in zip(texts, keys)]
-        return pa.array(rows, _RESULT)
+        done = []
+        for part in _parts(texts, keys):
+            rows = [_transformed(t.as_buffer() if t.is_valid else b"", k.as_py(), params) for t, k in zip(*part)]
+            columns = [pa.array([r[f.name] for r in rows], pa.binary() if f.name == "output" else f.type).cast(f.type) for f in _RESULT]
+            done.append(pa.StructArray.from_arrays(columns, fields=list(_RESULT)))
+        return pa.concat_arrays(done) if done else pa.array([], _RESULT)
 
     return F.arrow_udf(run, "struct<n: bigint, form: string, prefix_chars: bigint, middle_chars: bigint, output: string>")(
         text, F.coalesce(key.cast("string"), F.lit("")))
@@ -56,11 +63,21 @@ def restore(output: Column, form: Column) -> Column:
     """The text an output was made from, by its form alone; null if either is null."""
 
     def run(outputs: pa.Array, forms: pa.Array) -> pa.Array:
-        return pa.array([restored(o.as_buffer(), f.as_py()) if o.is_valid and f.is_valid else None for o, f in zip(outputs, forms)], pa.binary()).cast(pa.string())
+        done = []
+        for part in _parts(outputs, forms):
+            back = [restored(o.as_buffer(), f.as_py()) if o.is_valid and f.is_valid else None for o, f in zip(*part)]
+            done.append(pa.array(back, pa.binary()).cast(pa.string()))
+        return pa.concat_arrays(done) if done else pa.array([], pa.string())
 
     return F.arrow_udf(run, "string")(output, form)
 
 
+def _parts(texts: pa.Array, other: pa.Array) -> Iterator[list[pa.Array]]:
+    """Both columns in row runs of bounded text bytes, so that only one run is held as Python objects."""
+    for batch in slices(pa.RecordBatch.from_arrays([texts, other], ["text", "other"]), "text"):
+        yield batch.columns
+
+
 def _unit_starts(data: np.ndarray, at: int) -> np.ndarray:
     """Whether a unit starts at each byte of one block."""
     block = data[at : at + _BLOCK]
@@ -110,7 +127,7 @@ def _transformed(raw, key: str, params: MiddleParams) -> dict:
     h1, h2, h3, h4 = (int(digest[i : i + 8], 16) for i in range(0, 32, 8))
     buffer = bytearray(raw)
     if not n or h3 % 100 >= params.plain_from or any(s in buffer for s in (PREFIX, SUFFIX, MIDDLE)):
-        return {"n": n, "form": "plain", "prefix_chars": None, "middle_chars": None, "output": bytes(buffer).decode()}
+        return {"n": n, "form": "plain", "prefix_chars": None, "middle_chars": None, "output": bytes(buffer)}
     low, high = _cuts(data, counts, sorted((h1 % (n + 1), h2 % (n + 1))))
     prefix_chars, middle_chars = _chars(data[:low]), _chars(data[low:high])
     # <P>prefix<M>middle<S>suffix, then the suffix moves before the middle or to the front
@@ -120,7 +137,7 @@ def _transformed(raw, key: str, params: MiddleParams) -> dict:
     suffix_at = high + 2 * _WIDE
     first = h4 % 100 < params.suffix_first_below
     rotate(buffer, 0 if first else low + _WIDE, suffix_at, len(buffer))
-    return {"n": n, "form": "spm" if first else "psm", "prefix_chars": prefix_chars, "middle_chars": middle_chars, "output": bytes(buffer).decode()}
+    return {"n": n, "form": "spm" if first else "psm", "prefix_chars": prefix_chars, "middle_chars": middle_chars, "output": bytes(buffer)}
 
 
 def restored(output, form: str) -> bytes:
