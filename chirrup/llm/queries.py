@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chirrup.llm import decontaminate, fingerprints, labelled, language, licenses, middle, mixture, near_dup, passages, quality, shards, toxicity
+from chirrup.llm import decontaminate, fingerprints, labelled, language, licenses, middle, mixture, near_dup, passages, quality, shards, toxicity, trie
 from chirrup.llm.common import PLAIN_SQL, table
 from chirrup.llm.license_texts import KNOWN
 from chirrup.plans.registry import Query
@@ -67,6 +67,12 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
 
 
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    own = trie.paths(table(spark, folder, "conversations"))
+    return trie.prefix_trie(trie.with_shared_start(own, 100, 5, F.crc32(F.col("conv_id").cast("string")))).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", F.col("saved").alias("saved_tokens"), "ends_sha256")
+
+
 OP1_SQL = f"""
 WITH items AS (SELECT DISTINCT item_id, {PLAIN_SQL.format('text')} AS p FROM benchmark),
 split AS (SELECT item_id, p, string_split(p, ' ') AS w FROM items WHERE p <> ''),
@@ -170,6 +176,31 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix
               ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256
 FROM p"""
 
+# crc32 of the decimal id, bit by bit: a code is taken in, then eight shifts follow.
+_CRC = """list_reduce(flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+  lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, 4294967295)"""
+OP13_SQL = f"""
+WITH own AS (
+  SELECT conv_id, list(struct_pack(id := id, n := n) ORDER BY turn NULLS FIRST, id) AS p
+  FROM (SELECT conv_id, turn, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id, length(coalesce(text, '')) AS n
+        FROM conversations WHERE conv_id IS NOT NULL) GROUP BY conv_id),
+start AS (SELECT *, xor({_CRC}, 4294967295) % 6 AS h FROM own),
+built AS (SELECT c.conv_id, list_concat(coalesce(f.p[1:c.h], []), c.p[c.h + 1:]) AS p FROM start c LEFT JOIN own f ON f.conv_id = c.conv_id - c.conv_id % 100),
+keyed AS (SELECT conv_id, p, unnest(range(0, len(p) + 1)) AS d FROM built),
+pre AS (
+  SELECT conv_id, d, len(p) = d AS ends, p[d].n AS n, array_to_string(list_transform(p[1:d], lambda x: x.id), '') AS k,
+         CASE WHEN d > 0 THEN array_to_string(list_transform(p[1:d - 1], lambda x: x.id), '') END AS above FROM keyed),
+node AS (
+  SELECT k, any_value(above) AS above, any_value(d) AS d, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(any_value(n), 0) AS n,
+         sha256(coalesce(string_agg(CASE WHEN ends THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends_sha256 FROM pre GROUP BY k),
+kids AS (SELECT above AS k, count(*) AS c FROM node WHERE above IS NOT NULL GROUP BY above),
+under AS (
+  SELECT a.k, count(*) FILTER (WHERE kids.c IS NULL) AS leaves, sum((node.n_convs - 1) * node.n) AS saved
+  FROM node JOIN pre a ON a.conv_id = node.conv_id AND a.d <= node.d LEFT JOIN kids ON kids.k = node.k GROUP BY a.k)
+SELECT node.conv_id, node.d AS depth, up.conv_id AS parent_conv_id, node.n_convs, coalesce(kids.c, 0) AS n_children,
+       under.leaves AS n_leaves, CAST(under.saved AS BIGINT) AS saved_tokens, node.ends_sha256
+FROM node JOIN under USING (k) LEFT JOIN kids ON kids.k = node.k LEFT JOIN node up ON up.k = node.above"""
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": Query(op1, OP1_SQL),
     "op2_near_duplicates": Query(op2, OP2_SQL),
@@ -182,4 +213,5 @@ QUERIES: dict[str, Query] = {
     "op9_fingerprints": Query(op9),
     "op10_licenses": Query(op10, OP10_SQL),
     "op11_fill_in_middle": Query(op11, OP11_SQL),
+    "op13_prefix_trie": Query(op13, OP13_SQL),
 }
