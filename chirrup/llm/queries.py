@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chirrup.llm import decontaminate, fingerprints, labelled, language, licenses, middle, mixture, near_dup, passages, quality, shards, toxicity, trie
+from chirrup.llm import decontaminate, fingerprints, labelled, language, licenses, middle, mixture, near_dup, passages, quality, shards, suffixes, toxicity, trie
 from chirrup.llm.common import PLAIN_SQL, table
 from chirrup.llm.license_texts import KNOWN
 from chirrup.plans.registry import Query
@@ -67,6 +67,11 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
 
 
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    made = suffixes.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return made.select("row.doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     own = trie.paths(table(spark, folder, "conversations"))
     return trie.prefix_trie(trie.with_shared_start(own, 100, 5, F.crc32(F.col("conv_id").cast("string")))).select(
@@ -176,6 +181,20 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix
               ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256
 FROM p"""
 
+OP12_SQL = """
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, encode(coalesce(text, '')) AS x FROM documents),
+w AS (SELECT r, i, md5(x[i + 1:i + 200]) AS k FROM (SELECT r, x, unnest(range(0, octet_length(x) - 199)) AS i FROM d)),
+again AS (SELECT k FROM w GROUP BY k HAVING count(*) > 1),
+hit AS (SELECT r, i, i - lag(i, 1, -1000) OVER (PARTITION BY r ORDER BY i) > 200 AS fresh FROM w JOIN again USING (k)),
+isle AS (SELECT r, i, count(*) FILTER (WHERE fresh) OVER (PARTITION BY r ORDER BY i) AS g FROM hit),
+run AS (SELECT r, min(i) AS a, max(i) + 200 AS b FROM isle GROUP BY r, g),
+part AS (SELECT r, a, b, x, lag(b, 1, 0) OVER (PARTITION BY r ORDER BY a) AS before FROM run JOIN d USING (r)),
+cut AS (
+  SELECT r, count(*) AS n_spans, sum(b - a) AS n_removed, string_agg(hex(x[before + 1:a]), '' ORDER BY a) || hex(any_value(x)[max(b) + 1:]) AS kept FROM part GROUP BY r)
+SELECT doc_id, CAST(octet_length(x) AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       CASE WHEN cut.r IS NULL THEN sha256(x) ELSE sha256(unhex(kept)) END AS kept_sha256
+FROM d LEFT JOIN cut USING (r)"""
+
 # crc32 of the decimal id, bit by bit: a code is taken in, then eight shifts follow.
 _CRC = """list_reduce(flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
   lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, 4294967295)"""
@@ -213,5 +232,6 @@ QUERIES: dict[str, Query] = {
     "op9_fingerprints": Query(op9),
     "op10_licenses": Query(op10, OP10_SQL),
     "op11_fill_in_middle": Query(op11, OP11_SQL),
+    "op12_suffix_dedup": Query(op12, OP12_SQL),
     "op13_prefix_trie": Query(op13, OP13_SQL),
 }
