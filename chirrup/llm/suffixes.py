@@ -346,53 +346,55 @@ _PACKED = 7  # symbols of nine bits in the first sort key
 def suffix_array(data: np.ndarray, offs: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """(suffixes in order of their first `depth` bytes, group of each suffix) of the texts between `offs`.
 
-    A text ends with a symbol below every byte. Larsson-Sadakane: suffixes with
-    equal first h symbols form a group named by its first slot; each round sorts
-    the members of open groups by the group of the suffix h symbols on. Groups
-    of one, or whose members have ended, are closed and never touched again.
+    Every text is followed by a symbol below every byte. Larsson-Sadakane:
+    suffixes with equal first h symbols form a group named by its first slot;
+    each round sorts the members of open groups by the group of the suffix h
+    symbols on. Groups of one, or whose members have ended, are closed and never
+    touched again.
     """
-    n = len(data)
-    left = np.repeat(offs[1:], np.diff(offs)) - np.arange(n)
-    symbol = np.zeros(n + _PACKED, np.int64)
-    symbol[:n] = data
-    symbol[:n] += 1
-    key = np.zeros(n, np.int64)
-    for i in range(_PACKED):
-        key = (key << 9) | np.where(left > i, symbol[i : i + n], 0)
+    texts, n = len(offs) - 1, len(data)
+    size = n + texts
+    place = np.arange(n, dtype=np.int32) + np.repeat(np.arange(texts, dtype=np.int32), np.diff(offs))
+    symbol = np.zeros(size + _PACKED, np.int64)
+    symbol[place] = data
+    symbol[place] += 1
+    left = np.zeros(size, np.int32)
+    left[place] = np.repeat(offs[1:].astype(np.int32), np.diff(offs)) - np.arange(n, dtype=np.int32)
+    pairs = symbol[:-1] << 9 | symbol[1:]
+    fours = pairs[:-2] << 18 | pairs[2:]
+    key = ((fours[:size] << 18 | pairs[4 : size + 4]) << 9) | symbol[6 : size + 6]
+    short = np.flatnonzero(left < _PACKED)  # nothing after the end counts
+    beyond = 9 * (_PACKED - left[short].astype(np.int64))
+    key[short] = key[short] >> beyond << beyond
     sa = np.argsort(key)
-    ordered = key[sa]
-    slots = np.arange(n)
-    rank = np.zeros(n, np.int64)
-    named = _group_starts(ordered, slots)
-    rank[sa] = named
-    slots = _open(slots, named, left[sa] >= _PACKED)
-    h = _PACKED
+    key, sa = key[sa], sa.astype(np.int32)
+    slots = np.arange(size, dtype=np.int32)
+    rank = np.empty(size, np.int32)
+    slots, at = _named(key, slots, sa, rank)
+    slots, h = slots[left[at] >= _PACKED], _PACKED
     while len(slots) and h < depth:
         at = sa[slots]
-        follow = np.where(left[at] > h, rank[np.minimum(at + h, n - 1)] + 1, 0)
-        key = rank[at] * (n + 1) + follow
+        key = rank[at].astype(np.int64)
+        key *= size + 1
+        key += rank[at + h]  # members of an open group have h symbols, so this is their end at most
         order = np.argsort(key)
         at = at[order]
         sa[slots] = at
-        named = _group_starts(key[order], slots)
-        rank[at] = named
+        slots, at = _named(key[order], slots, at, rank)
         h *= 2
-        slots = _open(slots, named, left[at] >= h)
-    return sa, rank
-
-
-def _group_starts(ordered: np.ndarray, slots: np.ndarray) -> np.ndarray:
-    """For each sorted key the slot of the first equal one."""
-    new = np.ones(len(ordered), bool)
-    new[1:] = ordered[1:] != ordered[:-1]
-    return np.maximum.accumulate(np.where(new, slots, 0))
+        slots = slots[left[at] >= h]
+    back = np.zeros(size, np.int32)
+    back[place] = np.arange(n, dtype=np.int32)
+    return back[sa[texts:]], rank[place]  # the end symbols sort first
 
 
-def _open(slots: np.ndarray, named: np.ndarray, runs_on: np.ndarray) -> np.ndarray:
-    """Slots of groups of two or more whose members go on."""
-    new = np.ones(len(named) + 1, bool)
-    new[1:-1] = named[1:] != named[:-1]
-    return slots[~(new[:-1] & new[1:]) & runs_on]
+def _named(ordered: np.ndarray, slots: np.ndarray, at: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Write the first slot of its group as `rank` of every suffix; the slots and suffixes of groups of two or more."""
+    new = np.ones(len(ordered) + 1, bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:-1])
+    rank[at] = np.maximum.accumulate(np.where(new[:-1], slots, 0))
+    shared = ~(new[:-1] & new[1:])
+    return slots[shared], at[shared]
 
 
 def common_prefixes(data: np.ndarray, offs: np.ndarray, sa: np.ndarray, rank: np.ndarray, most: int) -> np.ndarray:
@@ -405,8 +407,8 @@ def common_prefixes(data: np.ndarray, offs: np.ndarray, sa: np.ndarray, rank: np
     """
     n = len(data)
     lcp = np.zeros(n, np.int64)
-    slot = np.empty(n, np.int64)
-    slot[sa] = np.arange(n)
+    slot = np.empty(n, np.int32)
+    slot[sa] = np.arange(n, dtype=np.int32)
     end = np.repeat(offs[1:], np.diff(offs))
     padded = np.concatenate((data, np.zeros(16, np.uint8)))
     word = np.ndarray((n + 8,), "<u8", padded, strides=(1,))
