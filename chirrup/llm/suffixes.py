@@ -51,7 +51,7 @@ def text_key(text: Column) -> list[Column]:
 def repeated_spans(docs: DataFrame, span: int = SPAN, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(k1, k2, spans) of each distinct text with repeated bytes; spans are [start, stop) in bytes, maximal and ascending."""
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).where(F.octet_length("text") >= span).select(*text_key(F.col("text")), "text")
-    runs = texts.mapInArrow(_keyed(span), "bucket bigint, cid bigint, k1 bigint, k2 bigint, at int, windows int, places int")
+    runs = stored(texts.mapInArrow(_keyed(span), "bucket bigint, cid bigint, k1 bigint, k2 bigint, at int, windows int, places int"), "suffix-keys")
     often = runs.groupBy("bucket").agg(F.sum("places").alias("n")).where("n > 1").select("bucket")
     # one row per stretch of a distinct text, with the number of its copies
     found = stored(runs.join(often, "bucket").groupBy("bucket", "cid", "k1", "k2", "at", "windows").agg(F.count(F.lit(1)).alias("copies")), "suffix-stretches")
