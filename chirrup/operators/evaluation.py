@@ -15,10 +15,10 @@ from chirrup.functions import text as X
 TRUE, PRED = "true_label", "predicted_label"
 
 
-def confusion_counts(predictions: DataFrame) -> DataFrame:
-    """Rows per (truth, prediction); a column `n` of `predictions` holds counts taken before."""
+def confusion_counts(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Rows per (truth, prediction), for each group of `by`; a column `n` of `predictions` holds counts taken before."""
     n = F.sum("n") if "n" in predictions.columns else F.count(F.lit(1))
-    return predictions.groupBy(TRUE, PRED).agg(n.alias("n"))
+    return predictions.groupBy(*by, TRUE, PRED).agg(n.alias("n"))
 
 
 def confusion_pairs(predictions: DataFrame) -> DataFrame:
@@ -38,17 +38,17 @@ def confusion_matrix(predictions: DataFrame, classes: Sequence[str]) -> DataFram
     return counted.select("*", *shares)
 
 
-def class_metrics(predictions: DataFrame) -> DataFrame:
-    """Precision, recall, F1 and support per label seen in truth or prediction."""
-    cells = confusion_counts(predictions)
+def class_metrics(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Precision, recall, F1 and support per label seen in truth or prediction, for each group of `by`."""
+    cells = confusion_counts(predictions, by)
     sides = F.array(
         F.struct(F.col(TRUE).alias("label"), F.col("n").alias("support"), F.lit(0).cast("bigint").alias("predicted")),
         F.struct(F.col(PRED).alias("label"), F.lit(0).cast("bigint").alias("support"), F.col("n").alias("predicted")),
     )
     hit = F.when((F.col(TRUE) == F.col(PRED)), F.col("n")).otherwise(0)
     # a hit is counted on its truth side only
-    long = cells.select(hit.alias("hit"), F.posexplode(sides).alias("side", "s"))
-    totals = long.groupBy(F.col("s.label").alias("label")).agg(
+    long = cells.select(*by, hit.alias("hit"), F.posexplode(sides).alias("side", "s"))
+    totals = long.groupBy(*by, F.col("s.label").alias("label")).agg(
         F.sum("s.support").alias("support"),
         F.sum("s.predicted").alias("predicted"),
         F.sum(F.when(F.col("side") == 0, F.col("hit")).otherwise(0)).alias("hits"),
@@ -57,7 +57,7 @@ def class_metrics(predictions: DataFrame) -> DataFrame:
     recall = _ratio(F.col("hits"), F.col("support"))
     f1 = _ratio(2.0 * F.col("hits"), F.col("predicted") + F.col("support"))
     return totals.select(
-        "label", "support", "predicted", "hits", precision.alias("precision"), recall.alias("recall"), f1.alias("f1")
+        *by, "label", "support", "predicted", "hits", precision.alias("precision"), recall.alias("recall"), f1.alias("f1")
     )
 
 
@@ -66,15 +66,15 @@ def _ratio(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a, b), F.lit(0.0))
 
 
-def overall_metrics(predictions: DataFrame) -> DataFrame:
-    """Accuracy with macro and support-weighted averages, as one row."""
-    m = class_metrics(predictions)
+def overall_metrics(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Accuracy with macro and support-weighted averages, as one row or one per group of `by`."""
+    m = class_metrics(predictions, by)
     total = F.sum("support")
     aggs = [F.round(_ratio(F.sum("hits"), total), 4).alias("accuracy")]
     for name in ("precision", "recall", "f1"):
         aggs.append(F.round(F.avg(name), 4).alias(f"macro_{name}"))
         aggs.append(F.round(_ratio(F.sum(F.col(name) * F.col("support")), total), 4).alias(f"weighted_{name}"))
-    return m.agg(total.alias("n"), *aggs)
+    return m.groupBy(*by).agg(total.alias("n"), *aggs)
 
 
 def error_rates(predictions: DataFrame, by: str = TRUE) -> DataFrame:

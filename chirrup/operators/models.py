@@ -1,163 +1,26 @@
-"""Text classifiers: TF-IDF features, linear models, naive Bayes, scoring.
+"""Experiment plans over linear text classifiers: sweeps, selection, scoring, inspection.
 
-Fitting runs on `pyspark.ml`, distributed over the feature table. Features are
-sparse vectors of at most `max_terms` entries; the fitted vocabulary and its
-idf weights are bounded by the same number and live in the pipeline stages.
+Fitting is `linear.fit_models`, which serves all models of a plan in shared
+passes; scoring is `scoring.predicted`, one pass over the texts for all models.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
-
-import numpy as np
-import pandas as pd
-from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes, OneVsRest, OneVsRestModel
-from pyspark.ml.feature import (
-    CountVectorizerModel, ElementwiseProduct, Normalizer, VectorAssembler,
-)
-from pyspark.ml.linalg import Vectors, VectorUDT
-from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.param.shared import HasInputCol, HasOutputCol
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from chirrup import params as P
 from chirrup.functions import text as X
-from chirrup.operators import evaluation as EV, topics as TP
+from chirrup.operators import evaluation as EV, scoring as SC, topics as TP
+from chirrup.operators.linear import LinearModel, ModelSpec, fit_models
+from chirrup.operators.ranking import top_per_group
 from chirrup.operators.splits import stratified_split
 from chirrup.session import cut_lineage
 
 LABEL, PRED = "sentiment_label", "predicted_label"
 
-
-# ------------------------------------------------------------------ stages
-class CleanText(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
-    """Pipeline stage for the text cleaning used in training and scoring."""
-
-    def __init__(self, inputCol: str = "post_text", outputCol: str = "text_clean"):
-        super().__init__()
-        self._set(inputCol=inputCol, outputCol=outputCol)
-
-    def _transform(self, df: DataFrame) -> DataFrame:
-        source = F.coalesce(F.col(self.getInputCol()), F.lit(""))
-        return df.withColumn(self.getOutputCol(), X.clean_text(source))
-
-
-class TermExtractor(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
-    """Pipeline stage from text to an array of word or character n-grams."""
-
-    analyzer = Param(Params._dummy(), "analyzer", "word or char", TypeConverters.toString)
-    low = Param(Params._dummy(), "low", "smallest n", TypeConverters.toInt)
-    high = Param(Params._dummy(), "high", "largest n", TypeConverters.toInt)
-
-    def __init__(self, inputCol: str = "text_clean", outputCol: str = "terms", analyzer: str = "word", low: int = 1, high: int = 2):
-        super().__init__()
-        self._set(inputCol=inputCol, outputCol=outputCol, analyzer=analyzer, low=low, high=high)
-
-    def _transform(self, df: DataFrame) -> DataFrame:
-        settings = P.TfidfParams(
-            analyzer=self.getOrDefault("analyzer"), ngrams=(self.getOrDefault("low"), self.getOrDefault("high"))
-        )
-        return TP.with_terms(df, self.getInputCol(), settings, self.getOutputCol())
-
-
-def _dampened(counts: Column) -> Column:
-    """1 + ln(tf) on sparse counts; self-contained for the executors."""
-
-    def dampen(batch: pd.DataFrame) -> pd.DataFrame:
-        import numpy as np
-
-        # a vector arrives and leaves as its storage struct (type, size, indices, values)
-        return batch.assign(values=batch["values"].map(lambda v: 1.0 + np.log(v)))
-
-    return F.pandas_udf(dampen, VectorUDT())(F.unwrap_udt(counts))
-
-
-class DampenCounts(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
-    """Pipeline stage for 1 + ln(tf) on sparse counts (Arrow batches)."""
-
-    def __init__(self, inputCol: str = "counts", outputCol: str = "damped"):
-        super().__init__()
-        self._set(inputCol=inputCol, outputCol=outputCol)
-
-    def _transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(self.getOutputCol(), _dampened(F.col(self.getInputCol())))
-
-
-class LabelName(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
-    """Pipeline stage from a predicted class index to its label."""
-
-    names = Param(Params._dummy(), "names", "labels by index", TypeConverters.toListString)
-
-    def __init__(self, inputCol: str = "prediction", outputCol: str = PRED, names: Sequence[str] = ()):
-        super().__init__()
-        self._set(inputCol=inputCol, outputCol=outputCol, names=list(names))
-
-    def _transform(self, df: DataFrame) -> DataFrame:
-        labels = F.array(*[F.lit(n) for n in self.getOrDefault("names")])
-        return df.withColumn(self.getOutputCol(), F.get(labels, F.col(self.getInputCol()).cast("int")))
-
-
-# ---------------------------------------------------------------- features
-def tfidf_stages(docs: DataFrame, params: P.TfidfParams, prefix: str, text: str = "text_clean", key: str = "text_id") -> list[Transformer]:
-    """Stages from text to a unit-length TF-IDF vector, fitted on `docs`.
-
-    The vocabulary is an ordered query (ties by term), so equal data gives
-    equal features. At most `max_terms` rows reach the driver.
-    """
-    low, high = params.ngrams
-    extract = TermExtractor(text, f"{prefix}_terms", params.analyzer, low, high)
-    tf = TP.term_frequencies(docs, key, text, params)
-    n_docs = docs.count()
-    vocab = TP.vocabulary(tf, params).select("term", "df").collect()
-    idf = [float(np.log((1 + n_docs) / (1 + r["df"])) + 1) for r in vocab]
-    count = CountVectorizerModel.from_vocabulary([r["term"] for r in vocab], f"{prefix}_terms", f"{prefix}_counts")
-    damp = DampenCounts(f"{prefix}_counts", f"{prefix}_damped")
-    scale = ElementwiseProduct(
-        scalingVec=Vectors.dense(idf), inputCol=f"{prefix}_damped" if params.sublinear else f"{prefix}_counts",
-        outputCol=f"{prefix}_scaled",
-    )
-    unit = Normalizer(p=2.0, inputCol=f"{prefix}_scaled", outputCol=f"{prefix}_tfidf")
-    return [extract, count, *([damp] if params.sublinear else []), scale, unit]
-
-
-def union_stages(docs: DataFrame, parts: dict[str, P.TfidfParams], output: str = "features") -> list[Transformer]:
-    """One or several vectorisers, put side by side in one vector."""
-    stages: list[Transformer] = []
-    for prefix, params in parts.items():
-        stages += tfidf_stages(docs, params, prefix)
-    return [*stages, VectorAssembler(inputCols=[f"{p}_tfidf" for p in parts], outputCol=output)]
-
-
-def apply_stages(df: DataFrame, stages: Sequence[Transformer]) -> DataFrame:
-    for s in stages:
-        df = s.transform(df)
-    return df
-
-
-# ------------------------------------------------------------------ models
-@dataclass(frozen=True)
-class ModelSpec:
-    """One row of an experiment plan."""
-
-    run_id: str
-    vectorizers: tuple[tuple[str, P.TfidfParams], ...]
-    algorithm: str  # "lr", "svm" or "nb"
-    c: float = 1.0
-    balanced: bool = False
-    lr_iterations: int = 1000
-    svm_iterations: int = 2000
-    tolerance: float = 1e-3
-
-    @property
-    def config(self) -> str:
-        names = "+".join(f"{n}{p.ngrams}" for n, p in self.vectorizers)
-        return f"{names} {self.algorithm} C={self.c}{' balanced' if self.balanced else ''}"
-
-
-ROWS_PER_TASK = 20_000  # feature rows of one task in a solver pass
+# Fixed settings of the experiment plans.
 WORD, CHAR = ("word", P.WORD_TFIDF), ("char", P.CHAR_TFIDF)
 INCUMBENT = ModelSpec("incumbent", (CHAR,), "lr")
 EXPERIMENTS = (
@@ -175,131 +38,49 @@ BASELINES = (
 )
 
 
-def indexed(df: DataFrame, label: str, classes: Sequence[str]) -> DataFrame:
-    """Class index from the fixed class order (not by frequency)."""
-    position = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label)) - 1
-    return df.withColumn("label", position.cast("double"))
-
-
-def class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
-    """Rows over (classes × rows of the class), joined on the tiny class table."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    total, kinds = F.sum("_n"), F.count(F.lit(1))
-    base = counts.agg((total / kinds).alias("b")).scalar()
-    weights = counts.select(label, (base / F.col("_n")).alias("weight"))
-    return df.join(F.broadcast(weights), label)
-
-
-def estimator(spec: ModelSpec, n_rows: int):
-    """Spark ML estimator with the penalty of the same inverse strength C."""
-    reg = 1.0 / (spec.c * max(n_rows, 1))
-    weight = {"weightCol": "weight"} if spec.balanced else {}
-    if spec.algorithm == "nb":
-        return NaiveBayes(modelType="multinomial", smoothing=1.0, **weight)
-    if spec.algorithm == "svm":
-        base = LinearSVC(regParam=reg, maxIter=spec.svm_iterations, tol=spec.tolerance, standardization=False)
-        return OneVsRest(classifier=base, parallelism=3)
-    return LogisticRegression(
-        family="multinomial", regParam=reg, elasticNetParam=0.0, maxIter=spec.lr_iterations, tol=spec.tolerance, standardization=False, **weight
-    )
-
-
-def require_converged(model, spec: ModelSpec) -> None:
-    """Fail on a fit that stopped at its iteration limit instead of its tolerance."""
-    if spec.algorithm == "nb":
-        return
-    limit = spec.svm_iterations if spec.algorithm == "svm" else spec.lr_iterations
-    for part in model.models if spec.algorithm == "svm" else [model]:
-        used = (part.summary() if spec.algorithm == "svm" else part.summary).totalIterations
-        if used >= limit:
-            raise RuntimeError(f"{spec.run_id}: not converged after {used} iterations")
-
+def fit_model(train: DataFrame, spec: ModelSpec, label: str = LABEL, classes: Sequence[str] = P.SENTIMENTS) -> LinearModel:
+    """Fit on (`text_id`, `text_clean`, label) rows; scoring needs text only."""
+    return fit_models(train, [spec], label, classes)[spec.run_id]
 
-def fit_model(
-    train: DataFrame, spec: ModelSpec, stages: Sequence[Transformer] | None = None, label: str = LABEL,
-    classes: Sequence[str] = P.SENTIMENTS, features: DataFrame | None = None,
-) -> PipelineModel:
-    """Fit on (`text_id`, `text_clean`, label) rows; scoring needs text only.
 
-    The feature table is written once before the iterations; pass `features`
-    (and `stages`) to share one table between several fits.
-    """
-    if stages is None:
-        stages = union_stages(train, dict(spec.vectorizers))
-    if features is None:
-        features = feature_table(train, stages, label, classes)
-    if spec.balanced:
-        features = class_weights(features, label)
-    rows = features.count()
-    # A solver pass is one job over every partition; a table is cut to its size and held for all passes.
-    held = features.coalesce(max(1, min(features.rdd.getNumPartitions(), -(-rows // ROWS_PER_TASK)))).persist()
-    model = estimator(spec, rows).fit(held)
-    held.unpersist()
-    require_converged(model, spec)
-    return PipelineModel(stages=[*stages, model, LabelName(names=classes)])
-
-
-def feature_table(df: DataFrame, stages: Sequence[Transformer], label: str = LABEL, classes: Sequence[str] = P.SENTIMENTS) -> DataFrame:
-    made = apply_stages(indexed(df, label, classes), stages)
-    return cut_lineage(made.select("text_id", label, "label", "features"))
-
-
-def score(model: PipelineModel, df: DataFrame, label: str = LABEL) -> DataFrame:
+def score(model: LinearModel, df: DataFrame, label: str = LABEL) -> DataFrame:
     """Predictions beside the true label."""
-    return model.transform(df).select("text_id", "text_clean", F.col(label).alias(EV.TRUE), PRED)
+    scored = SC.predicted(df, [model], ["text_id", "text_clean", label])
+    return scored.select("text_id", "text_clean", F.col(label).alias(EV.TRUE), F.get("labels", F.lit(0)).alias(PRED))
 
 
-def batch_scoring(model: PipelineModel, raw: DataFrame, text: str = "post_text", key: str = "text_id") -> DataFrame:
+def batch_scoring(model: LinearModel, raw: DataFrame, text: str = "post_text", key: str = "text_id") -> DataFrame:
     """Raw text in, cleaned text and label out; no confidence is produced."""
-    cleaned = CleanText(text, "text_clean").transform(raw.select(key, text))
-    return model.transform(cleaned).select(key, F.col(text).alias("raw_text"), "text_clean", F.col(PRED).alias("label"))
+    cleaned = raw.select(F.col(key), F.col(text).alias("raw_text"), X.clean_text(F.coalesce(F.col(text), F.lit(""))).alias("text_clean"))
+    scored = SC.predicted(cleaned, [model], [key, "raw_text", "text_clean"])
+    return scored.select(key, "raw_text", "text_clean", F.get("labels", F.lit(0)).alias("label"))
 
 
-def batch_labels(model: PipelineModel, raw: DataFrame, text: str = "post_text", key: str = "text_id") -> DataFrame:
-    return batch_scoring(model, raw, text, key).select(key, "label")
+def batch_labels(model: LinearModel, raw: DataFrame, text: str = "post_text", key: str = "text_id") -> DataFrame:
+    cleaned = raw.select(F.col(key), X.clean_text(F.coalesce(F.col(text), F.lit(""))).alias("text_clean"))
+    return SC.predicted(cleaned, [model], [key]).select(key, F.get("labels", F.lit(0)).alias("label"))
 
 
 # ------------------------------------------------------------- experiments
-def _result_row(spec: ModelSpec, predictions: DataFrame, classes: Sequence[str] = P.SENTIMENTS) -> DataFrame:
-    """Overall metrics and per-class F1 of one run, as one row.
+def run_log(scored: DataFrame, specs: Sequence[ModelSpec], classes: Sequence[str] = P.SENTIMENTS) -> DataFrame:
+    """Overall metrics and per-class F1 of each run, from (run_id, truth, prediction) rows."""
+    overall = EV.overall_metrics(scored, ["run_id"]).select("run_id", "accuracy", "macro_f1", "macro_precision", "macro_recall")
+    f1 = EV.class_metrics(scored, ["run_id"]).groupBy("run_id").agg(
+        *[F.coalesce(F.round(F.max(F.when(F.col("label") == c, F.col("f1"))), 4), F.lit(0.0)).alias(f"f1_{c.lower()}") for c in classes])
+    names = scored.sparkSession.createDataFrame([(s.run_id, s.config) for s in specs], "run_id string, config string")
+    return names.join(overall, "run_id").join(f1, "run_id")
 
-    The run is reduced to its confusion counts first, so the log holds
-    numbers and no plan of a scored model.
-    """
-    cells = [(r[EV.TRUE], r[EV.PRED], r["n"]) for r in EV.confusion_counts(predictions).collect()]  # classes squared at most
-    predictions = predictions.sparkSession.createDataFrame(cells, f"{EV.TRUE} string, {EV.PRED} string, n long")
-    overall = EV.overall_metrics(predictions).select("accuracy", "macro_f1", "macro_precision", "macro_recall")
-    per_class = EV.class_metrics(predictions)
-    wide = per_class.agg(
-        *[F.coalesce(F.round(F.max(F.when(F.col("label") == c, F.col("f1"))), 4), F.lit(0.0)).alias(f"f1_{c.lower()}") for c in classes]
-    )
-    scores = wide.agg(F.struct(*[F.first(f"f1_{c.lower()}").alias(f"f1_{c.lower()}") for c in classes])).scalar()
-    return overall.select(
-        F.lit(spec.run_id).alias("run_id"), F.lit(spec.config).alias("config"), "*",
-        *[scores[f"f1_{c.lower()}"].alias(f"f1_{c.lower()}") for c in classes],
-    )
 
+def sweep(train: DataFrame, val: DataFrame, specs: Sequence[ModelSpec], label: str = LABEL, classes: Sequence[str] = P.SENTIMENTS) -> tuple[DataFrame, dict[str, LinearModel]]:
+    """Fit all specs on `train` in shared passes, label `val` by all of them in one; log rows and models.
 
-def sweep(train: DataFrame, val: DataFrame, specs: Sequence[ModelSpec], label: str = LABEL) -> tuple[DataFrame, dict[str, PipelineModel]]:
-    """Fit each spec on `train`, measure on `val`; log rows and fitted models.
-
-    Specs with equal vectorisers share one written feature table. Each run's
-    validation predictions are label pairs, aggregated on the cluster.
+    The log is written: it holds a row per run and no plan of a scored model.
     """
-    shared: dict[tuple, tuple] = {}
-    models: dict[str, PipelineModel] = {}
-    log: DataFrame | None = None
-    for spec in specs:
-        if spec.vectorizers not in shared:
-            stages = union_stages(train, dict(spec.vectorizers))
-            shared[spec.vectorizers] = (stages, feature_table(train, stages, label), feature_table(val, stages, label))
-        stages, features, val_features = shared[spec.vectorizers]
-        model = fit_model(train, spec, stages, label, features=features)
-        scored = apply_stages(val_features, model.stages[len(stages):])
-        row = _result_row(spec, scored.select(F.col(label).alias(EV.TRUE), PRED))
-        log = row if log is None else log.unionByName(row)
-        models[spec.run_id] = model
-    return cut_lineage(log), models
+    models = fit_models(train, specs, label, classes)
+    labelled = SC.predicted(val, [models[s.run_id] for s in specs], [label])
+    runs = F.arrays_zip(F.array(*[F.lit(s.run_id) for s in specs]).alias("run_id"), F.col("labels").alias(PRED))
+    scored = labelled.select(F.col(label).alias(EV.TRUE), F.explode(runs).alias("r")).select("r.run_id", EV.TRUE, f"r.{PRED}")
+    return cut_lineage(run_log(scored, specs, classes)), models
 
 
 def pick_winner(log: DataFrame, incumbent: str) -> str:
@@ -309,7 +90,7 @@ def pick_winner(log: DataFrame, incumbent: str) -> str:
     return best["run_id"] if best["macro_f1"] > bar else incumbent
 
 
-def select_and_refit(train: DataFrame, val: DataFrame, specs: Sequence[ModelSpec] = EXPERIMENTS, label: str = LABEL) -> tuple[DataFrame, ModelSpec, PipelineModel]:
+def select_and_refit(train: DataFrame, val: DataFrame, specs: Sequence[ModelSpec] = EXPERIMENTS, label: str = LABEL) -> tuple[DataFrame, ModelSpec, LinearModel]:
     """Run the sweep with the incumbent, refit the winner on train + val."""
     plan = [INCUMBENT, *specs]
     log, _ = sweep(train, val, plan, label)
@@ -333,26 +114,12 @@ def learnability(df: DataFrame, label: str, classes: Sequence[str], margin: floa
 
 
 # ------------------------------------------------------------ inspection
-def feature_weights(model: PipelineModel, n: int = 15, classes: Sequence[str] = P.SENTIMENTS) -> DataFrame:
-    """Strongest positive and negative terms per class of a linear model.
-
-    The coefficient matrix (classes × at most `max_terms` per vectoriser) is
-    part of the fitted model on the driver; this turns its ends into rows.
-    """
-    terms = [t for s in model.stages if isinstance(s, CountVectorizerModel) for t in s.vocabulary]
-    linear = model.stages[-2]
-    if isinstance(linear, OneVsRestModel):
-        rows = [m.coefficients.toArray() for m in linear.models]
-    else:
-        rows = list(linear.coefficientMatrix.toArray())
-    data = []
-    for name, w in zip(classes, rows):
-        up = sorted(range(len(terms)), key=lambda j: (-w[j], terms[j]))[:n]
-        down = sorted(range(len(terms)), key=lambda j: (w[j], terms[j]))[:n]
-        for sign, order in (("positive", up), ("negative", down)):
-            data += [(name, sign, r + 1, terms[j], round(float(w[j]), 4)) for r, j in enumerate(order)]
-    schema = "label string, direction string, rank bigint, term string, weight double"
-    return SparkSession.getActiveSession().createDataFrame(data, schema)
+def feature_weights(model: LinearModel, n: int = 15) -> DataFrame:
+    """Strongest positive and negative terms per class of a linear model."""
+    table = SC.weight_table(SparkSession.getActiveSession(), model).select("label", "term", F.col("weight").alias("w"))
+    ends = [top_per_group(table, ["label"], [order, F.col("term")], n).withColumn("direction", F.lit(name))
+            for name, order in (("positive", F.desc("w")), ("negative", F.asc("w")))]
+    return ends[0].unionByName(ends[1]).select("label", "direction", "rank", "term", F.round("w", 4).alias("weight"))
 
 
 # ------------------------------------------- naive Bayes as joins and sums

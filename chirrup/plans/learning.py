@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from chirrup import params as P
 from chirrup.functions import text as X
-from chirrup.operators import clean as CL, engagement as E, evaluation as EV, models as M, quality as Q, splits as SP
+from chirrup.operators import clean as CL, engagement as E, evaluation as EV, models as M, quality as Q, scoring as SC, splits as SP
 from chirrup.plans import check_sql as S
 from chirrup.plans.corpus import labelled, word_terms
 from chirrup.plans.registry import Query
@@ -147,12 +147,29 @@ def batch(spark, d):
     from chirrup.plans.corpus import documents
 
     train, _, _ = _parts(spark, d)
-    spec = M.ModelSpec("word+nb", (M.WORD,), "nb")  # the cheapest fit: this query is about storing and scoring
     path = fresh_dir(spark, "model")
-    A.save_model(M.fit_model(train, spec), {"config": spec.config, "classes": list(P.SENTIMENTS)}, path)
-    model, _ = A.load_model(spark, path)
+    SC.save_linear(spark, M.fit_model(train, M.ModelSpec("word+nb", (M.WORD,), "nb")), path)
     raw = documents(spark, d).select(F.col("doc_id").alias("text_id"), F.col("text").alias("post_text"))
-    return M.batch_labels(model, raw)
+    return M.batch_labels(SC.load_linear(spark, path), raw)
+
+
+def optimum(spark, d, spec):
+    """Test texts with two facts about the stored model: its gradient over all training rows is
+    within tolerance, and the label scored inside the row is the one that joins by term give."""
+    train, _, test = _parts(spark, d)
+    path = fresh_dir(spark, "model")
+    SC.save_linear(spark, M.fit_model(train, spec), path)
+    model = SC.load_linear(spark, path)
+    optimal = cut_lineage(SC.optimality(train, [model], "sentiment_label")).select("optimal").scalar()
+    scored = M.score(model, test).join(SC.labels_by_join(test, model).withColumnRenamed(PRED, "joined"), "text_id")
+    return scored.select("text_id", TRUE, optimal.alias("optimal"), (F.col(PRED) == F.col("joined")).alias("agrees"))
+
+
+def sweep_optima(spark, d):
+    """Every model of the experiment plan, fitted in shared passes, against its own objective."""
+    train, _, _ = _parts(spark, d)
+    models = M.fit_models(train, [M.INCUMBENT, *M.EXPERIMENTS], "sentiment_label", P.SENTIMENTS)
+    return SC.optimality(train, list(models.values()), "sentiment_label").select("run_id", "optimal")
 
 
 def weights(spark, d):
@@ -178,22 +195,29 @@ _SPLIT = dict(
     rows_="SELECT lab.*, split FROM lab JOIN sp USING (text_clean)",
 )
 _ROWS = S.with_views("labelled", **_LAB, **_SPLIT)
-# Priors and terms smoothed by one, as the fitted estimator does; vocabulary and weights come from the training part.
-_NB = S.with_views(
-    "labelled", **_LAB, **_SPLIT, tr="SELECT * FROM rows_ WHERE split = 'train'", te="SELECT * FROM rows_ WHERE split = 'test'",
-    **word_terms("tr", "text_id", "text_clean"),
-    cs="SELECT sentiment_label AS c, term, sum(w / norm) AS s FROM wt JOIN tr USING (text_id) GROUP BY ALL",
-    ct="SELECT sentiment_label AS c, count(*) AS n FROM tr GROUP BY 1",
-    tot="""SELECT c, ln((n + 1) / (SELECT sum(n) + count(*) FROM ct)) AS lp,
-           ln(coalesce((SELECT sum(s) FROM cs WHERE cs.c = ct.c), 0) + (SELECT count(*) FROM voc)) AS lt FROM ct""",
-    ek=f"SELECT text_id, {S.word_tokens('text_clean')} AS k FROM te",
-    et=f"SELECT text_id, term, count(*) AS tf FROM (SELECT text_id, unnest(list_concat(k, {S.bigrams('k')})) AS term FROM ek) GROUP BY ALL",
-    ew="SELECT text_id, term, (1 + ln(tf)) * idf AS w, sqrt(sum(((1 + ln(tf)) * idf) ** 2) OVER (PARTITION BY text_id)) AS norm FROM et JOIN voc USING (term)",
-    gain="SELECT text_id, c, sum(w / norm * ln(s + 1)) AS g FROM ew JOIN cs USING (term) GROUP BY ALL",
-    mass="SELECT text_id, sum(w / norm) AS m FROM ew GROUP BY 1",
-    scored="""SELECT te.text_id, tot.c, lp + coalesce(g, 0) - coalesce(m, 0) * lt AS score FROM te JOIN tot ON true
-              LEFT JOIN gain ON gain.text_id = te.text_id AND gain.c = tot.c LEFT JOIN mass ON mass.text_id = te.text_id""",
-)
+
+
+def _nb(te):
+    """Priors and terms smoothed by one; vocabulary and weights come from the training part."""
+    return S.with_views(
+        "labelled", **_LAB, **_SPLIT, tr="SELECT * FROM rows_ WHERE split = 'train'", te=te,
+        **word_terms("tr", "text_id", "text_clean"),
+        cs="SELECT sentiment_label AS c, term, sum(w / norm) AS s FROM wt JOIN tr USING (text_id) GROUP BY ALL",
+        ct="SELECT sentiment_label AS c, count(*) AS n FROM tr GROUP BY 1",
+        tot="""SELECT c, ln((n + 1) / (SELECT sum(n) + count(*) FROM ct)) AS lp,
+               ln(coalesce((SELECT sum(s) FROM cs WHERE cs.c = ct.c), 0) + (SELECT count(*) FROM voc)) AS lt FROM ct""",
+        ek=f"SELECT text_id, {S.word_tokens('text_clean')} AS k FROM te",
+        et=f"SELECT text_id, term, count(*) AS tf FROM (SELECT text_id, unnest(list_concat(k, {S.bigrams('k')})) AS term FROM ek) GROUP BY ALL",
+        ew="SELECT text_id, term, (1 + ln(tf)) * idf AS w, sqrt(sum(((1 + ln(tf)) * idf) ** 2) OVER (PARTITION BY text_id)) AS norm FROM et JOIN voc USING (term)",
+        gain="SELECT text_id, c, sum(w / norm * ln(s + 1)) AS g FROM ew JOIN cs USING (term) GROUP BY ALL",
+        mass="SELECT text_id, sum(w / norm) AS m FROM ew GROUP BY 1",
+        scored="""SELECT te.text_id, tot.c, lp + coalesce(g, 0) - coalesce(m, 0) * lt AS score FROM te JOIN tot ON true
+                  LEFT JOIN gain ON gain.text_id = te.text_id AND gain.c = tot.c LEFT JOIN mass ON mass.text_id = te.text_id""",
+    )
+
+
+_NB = _nb("SELECT * FROM rows_ WHERE split = 'test'")
+_NB_DOCS = _nb(f"SELECT doc_id AS text_id, {S.clean_text("coalesce(text, '')")} AS text_clean FROM documents")
 _PRED = dict(pred=f"""SELECT text_id, text_clean, sentiment_label AS t, CASE WHEN len({S.words('text_clean')}) < 60 THEN 'Neutral'
     WHEN length(text_clean) % 4 = 0 THEN 'Negative' ELSE 'Positive' END AS p FROM lab""")
 _P = S.with_views("labelled", **_LAB, **_PRED)
@@ -286,7 +310,13 @@ QUERIES: dict[str, Query] = {
     "balanced_lr": Query(lambda s, d: _fit_and_score(s, d, M.ModelSpec("char+lr balanced", (M.CHAR,), "lr", balanced=True))),
     "baseline_models": Query(baseline_models),
     "model_sweep": Query(sweep),
-    "batch_scoring": Query(batch),
+    "batch_scoring": Query(batch, f"""{_NB_DOCS} SELECT te.text_id, best.c AS label FROM te JOIN (SELECT text_id, arg_max(c, score) AS c FROM scored GROUP BY 1) best USING (text_id)"""),
+    **{name: Query(lambda s, d, spec=spec: optimum(s, d, spec), f"""{_ROWS}
+        SELECT text_id, sentiment_label AS true_label, true AS optimal, true AS agrees FROM rows_ WHERE split = 'test'""")
+       for name, spec in (("lr_optimum", M.ModelSpec("word+lr", (M.WORD,), "lr")), ("svm_optimum", M.ModelSpec("char+svm", (M.CHAR,), "svm")),
+                          ("union_optimum", M.ModelSpec("char+word+lr", (M.CHAR, M.WORD), "lr")),
+                          ("balanced_optimum", M.ModelSpec("char+lr balanced", (M.CHAR,), "lr", balanced=True)))},
+    "sweep_optima": Query(sweep_optima, "SELECT unnest(['incumbent', 'Exp-A', 'Exp-B', 'Exp-C', 'Exp-D', 'Exp-E']) AS run_id, true AS optimal"),
     "feature_weights": Query(weights),
     "learnability": Query(learnable),
 }

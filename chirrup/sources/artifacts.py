@@ -1,10 +1,7 @@
-"""Label maps, fitted models and predictions on storage."""
+"""Label maps and predictions on storage; fitted models are stored by `operators.scoring`."""
 
 from __future__ import annotations
 
-import json
-
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chirrup.params import LABEL_CODES
@@ -24,20 +21,6 @@ def load_label_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("field string, label string, label_id bigint").json(path)
 
 
-def save_model(model: PipelineModel, config: dict, path: str) -> None:
-    """Fitted pipeline beside its configuration row, on any Spark file system."""
-    model.write().overwrite().save(f"{path}/model")
-    spark = SparkSession.getActiveSession()
-    spark.createDataFrame([(json.dumps(config),)], "config string").coalesce(1).write.mode("overwrite").text(
-        f"{path}/config"
-    )
-
-
-def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, dict]:
-    config = json.loads(spark.read.text(f"{path}/config").head()[0])
-    return PipelineModel.load(f"{path}/model"), config
-
-
 def predictions_table(scored: DataFrame) -> DataFrame:
     return scored.select(
         "text_id", "text_clean", "true_label", "predicted_label",

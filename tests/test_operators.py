@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from chirrup import params as P
 from chirrup.functions import cleaning as C
-from chirrup.operators import clean as CL, evaluation as EV, models as M, quality as Q, ranking as R, splits as SP
+from chirrup.operators import clean as CL, evaluation as EV, quality as Q, ranking as R, splits as SP
 from chirrup.operators import timeline as TL, triggers as TR
 from chirrup.sources import artifacts as A, collect as CO, files as FI, roles
 
@@ -157,21 +157,6 @@ def test_quality_suite_counts_violations(spark):
     assert got["posts: user_id exists"] == 1 and got["posts: no placeholder text"] == 1 and got["posts: likes is not negative"] == 1
 
 
-def test_model_round_trip(spark, tmp_path):
-    good, bad, plain = "lovely great day", "awful bad mess", "meeting at noon"
-    rows = [(i, t, s) for i in range(30) for t, s in ((good + f" {i}", "Positive"), (bad + f" {i}", "Negative"), (plain + f" {i}", "Neutral"))]
-    df = spark.createDataFrame([(j, t, s) for j, (_, t, s) in enumerate(rows)], "text_id long, text_clean string, sentiment_label string")
-    for spec in (M.ModelSpec("w", (M.WORD,), "lr"), M.ModelSpec("c", (M.CHAR, M.WORD), "lr", balanced=True)):
-        model = M.fit_model(df, spec)
-        A.save_model(model, {"config": spec.config}, f"file://{tmp_path}/{spec.run_id}")
-        again, config = A.load_model(spark, f"file://{tmp_path}/{spec.run_id}")
-        assert config["config"] == spec.config
-        raw = spark.createDataFrame([(1, "What a lovely great day &amp; more"), (2, "awful bad mess")], "text_id long, post_text string")
-        assert {r["text_id"]: r["label"] for r in M.batch_labels(again, raw).collect()} == {1: "Positive", 2: "Negative"}
-    weights = M.feature_weights(model, n=3).filter("label = 'Positive' AND direction = 'positive'").count()
-    assert weights == 3
-
-
 def _stream_of(spark, folder, schema):
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
 
