@@ -67,7 +67,11 @@ def _share(part: Column, whole: Column) -> Column:
 
 
 def hourly_timeline(posts: DataFrame, series: Sequence[str] = ()) -> DataFrame:
-    filled = fill_hours(hour_counts(timed_posts(posts, series), series), series)
+    return timeline_measures(fill_hours(hour_counts(timed_posts(posts, series), series), series), series)
+
+
+def timeline_measures(filled: DataFrame, series: Sequence[str] = ()) -> DataFrame:
+    """Average engagement and label percentages of hour counts."""
     n = F.col("post_count")
     mean = F.coalesce(F.bround(F.try_divide("total_engagement", n), 2), F.lit(0.0))
     return filled.select(

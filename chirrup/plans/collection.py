@@ -87,6 +87,12 @@ def stream_timeline(spark, d):
     return out.withColumn("hour", F.date_format("hour", "yyyy-MM-dd HH:mm:ss"))
 
 
+def stream_timeline_full(spark, d):
+    ordinary, _ = ST.split_future(_event_stream(spark, d))
+    out = ST.run_timeline(ordinary, "timeline")
+    return out.withColumn("hour", F.date_format("hour", "yyyy-MM-dd HH:mm:ss"))
+
+
 def stream_future(spark, d):
     _, future = ST.split_future(_event_stream(spark, d))
     return ST.run_to_table(future.select("post_id", "sentiment_label"), "future")
@@ -108,7 +114,7 @@ def stream_merge(spark, d):
 
 
 def stream_dedup(spark, d):
-    unique = ST.first_within_watermark(_twice(_event_stream(spark, d)), "post_uri")
+    unique = ST.first_ever(_twice(_event_stream(spark, d)), "post_uri")
     return ST.run_to_table(unique.select("post_uri", "sentiment_label"), "dedup")
 
 
@@ -145,6 +151,15 @@ QUERIES: dict[str, Query] = {
                CAST(sum(CAST(floor(value) AS BIGINT)) AS BIGINT) AS total_engagement,
                count(*) FILTER (WHERE label = 'Negative') AS n_negative, count(*) FILTER (WHERE label = 'Positive') AS n_positive
         FROM e GROUP BY date_trunc('hour', ts)"""),
+    "stream_timeline_full": Query(stream_timeline_full, f"""
+        WITH e AS (SELECT date_trunc('hour', ts) AS hour, CAST(floor(value) AS BIGINT) AS eng, {_SENT} AS label FROM events WHERE event_id % 50 <> 0),
+        h AS (SELECT hour, count(*) AS n, sum(eng) AS total, count(*) FILTER (WHERE label = 'Negative') AS a,
+                     count(*) FILTER (WHERE label = 'Positive') AS c FROM e GROUP BY 1),
+        every AS (SELECT unnest(generate_series((SELECT min(hour) FROM h), (SELECT max(hour) FROM h), INTERVAL 1 HOUR)) AS hour)
+        SELECT strftime(every.hour, '%Y-%m-%d %H:%M:%S') AS hour, coalesce(n, 0) AS post_count, CAST(coalesce(total, 0) AS BIGINT) AS total_engagement,
+               coalesce(round_even(total / n, 2), 0.0) AS avg_engagement, coalesce(round_even(a / n * 100, 2), 0.0) AS pct_negative,
+               coalesce(round_even((n - a - c) / n * 100, 2), 0.0) AS pct_neutral, coalesce(round_even(c / n * 100, 2), 0.0) AS pct_positive
+        FROM every LEFT JOIN h ON h.hour = every.hour"""),
     "stream_future_rows": Query(stream_future, f"SELECT event_id AS post_id, {_SENT} AS sentiment_label FROM events WHERE event_id % 50 = 0"),
     "stream_merge_posts": Query(stream_merge, f"SELECT 'post/' || event_id AS post_uri, {_SENT} AS sentiment_label, event_id AS arrival FROM events"),
     "stream_dedup": Query(stream_dedup, f"SELECT 'post/' || event_id AS post_uri, {_SENT} AS sentiment_label FROM events"),

@@ -8,8 +8,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from chirrup.operators.timeline import fill_hours, timeline_measures
 from chirrup.session import fresh_dir
 from chirrup.sources.collect import merge_first_seen
+from chirrup.streaming.store import bucket_of, compact, read_store, write_batch
 
 
 def read_posts(spark: SparkSession, folder: str, name: str, schema: str | None = None) -> DataFrame:
@@ -63,18 +65,48 @@ def start_hourly(stream: DataFrame, path: str, checkpoint: str, ts: str = "ts",
     run = run_name(checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        hourly_counts(batch, ts, series).write.mode("overwrite").parquet(f"{path}/run={run}/batch={batch_id}")
+        write_batch(hourly_counts(batch, ts, series), path, run, batch_id)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def _hourly_schema(series: Sequence[str]) -> str:
+    return ", ".join(["hour timestamp", *(f"{s} string" for s in series), *(f"{m} bigint" for m in MEASURES)])
+
+
+def _summed(counts: DataFrame, series: Sequence[str] = ()) -> DataFrame:
+    return counts.groupBy("hour", *series).agg(*[F.sum(m).alias(m) for m in MEASURES])
+
+
 def read_hourly(spark: SparkSession, path: str, series: Sequence[str] = ()) -> DataFrame:
-    """The timeline over all stored batches."""
-    return spark.read.parquet(path).groupBy("hour", *series).agg(*[F.sum(m).alias(m) for m in MEASURES])
+    """Hour counts over all stored batches."""
+    return _summed(read_store(spark, path, _hourly_schema(series)), series)
+
+
+def compact_hourly(spark: SparkSession, path: str, checkpoint: str, series: Sequence[str] = (), over: bool = False) -> None:
+    """Replace a run's batches by their sums, so the table has a row per hour and series again.
+
+    `over` says that the run will not continue, so that its last batch is summed too.
+    """
+    compact(spark, path, run_name(checkpoint), _hourly_schema(series), lambda df: _summed(df, series), before_last=not over)
+
+
+def read_timeline(spark: SparkSession, path: str, series: Sequence[str] = ()) -> DataFrame:
+    """The full timeline of the stored counts: averages, percentages, and zero rows for empty hours."""
+    counts = read_hourly(spark, path, series).withColumn("n_neutral", F.col("post_count") - F.col("n_negative") - F.col("n_positive"))
+    return timeline_measures(fill_hours(counts, series), series)
+
+
+def first_ever(stream: DataFrame, key: str) -> DataFrame:
+    """First arrival per key, however late a copy comes; the state holds every key.
+
+    Where keys outgrow the state store, `start_merge` keeps them in a bucketed table.
+    """
+    return stream.dropDuplicates([key])
 
 
 def first_within_watermark(stream: DataFrame, key: str, ts: str = "ts", delay: str = "1 day") -> DataFrame:
-    """First arrival per key while the key is within the watermark horizon."""
+    """First arrival per key while the key is within the watermark horizon; rows later than that are dropped."""
     return stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
 
@@ -89,36 +121,53 @@ def start_to_table(stream: DataFrame, path: str, checkpoint: str) -> StreamingQu
     )
 
 
-def merge_batch(path: str, key: str, arrival: str, run: str) -> Callable[[DataFrame, int], None]:
+BUCKETS = 256  # folders of keys in a merged table
+
+
+def merge_batch(path: str, key: str, arrival: str, run: str, buckets: int = BUCKETS) -> Callable[[DataFrame, int], None]:
     """`foreachBatch` writer keeping the first row per key over all batches and runs.
 
-    Only keys not stored yet are appended, without any time horizon. A batch
-    goes to its own folder, overwritten when the batch is replayed, and is
-    compared with the earlier batches of its run and with all other runs; a
+    Only keys not stored yet are appended, without any time horizon. The table
+    is bucketed by key hash, and a batch reads the key column of its own buckets
+    only. It goes to its own folder, overwritten when the batch is replayed, and
+    is compared with the earlier batches of its run and with all other runs; a
     replay thus gives the same rows, and a new checkpoint on a stored table
     adds to it.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        unique = merge_first_seen(batch.limit(0), batch, key, arrival).drop("is_new")
-        stored = batch.sparkSession.read.schema(batch.schema).parquet(path)
-        earlier = stored.filter((F.col("run") != run) | (F.col("batch") < batch_id)).select(key)
-        unique.join(earlier, key, "left_anti").write.mode("overwrite").parquet(f"{path}/run={run}/batch={batch_id}")
+        spark = batch.sparkSession
+        unique = merge_first_seen(batch.limit(0), batch, key, arrival).drop("is_new").withColumn("bucket", bucket_of(key, buckets)).persist()
+        touched = [r.bucket for r in unique.select("bucket").distinct().collect()]  # `buckets` numbers at most
+        stored = read_store(spark, path, batch.schema, True, lambda r, b: r != run or b < batch_id)
+        earlier = stored.filter(F.col("bucket").isin(touched)).select(key)
+        write_batch(unique.join(earlier, key, "left_anti").repartition("bucket"), path, run, batch_id, ["bucket"])
+        unique.unpersist()
 
     return write
 
 
-def start_merge(stream: DataFrame, path: str, checkpoint: str, key: str = "post_uri", arrival: str = "arrival") -> StreamingQuery:
-    # An empty part, so that the first batch finds a table to compare with.
-    stream.sparkSession.createDataFrame([], stream.schema).write.mode("overwrite").parquet(f"{path}/run=none/batch=0")
+def start_merge(
+    stream: DataFrame, path: str, checkpoint: str, key: str = "post_uri", arrival: str = "arrival", buckets: int = BUCKETS,
+) -> StreamingQuery:
+    """Merge the stream into the table at `path`; the number of buckets must stay as the table was begun."""
     return (
-        stream.writeStream.foreachBatch(merge_batch(path, key, arrival, run_name(checkpoint)))
+        stream.writeStream.foreachBatch(merge_batch(path, key, arrival, run_name(checkpoint), buckets))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
+def read_merged(spark: SparkSession, path: str, schema) -> DataFrame:
+    return read_store(spark, path, schema, True).drop("run", "batch", "bucket")
+
+
+def compact_merged(spark: SparkSession, path: str, checkpoint: str, schema, over: bool = False) -> None:
+    """One file per bucket in place of one per bucket and batch of a run."""
+    compact(spark, path, run_name(checkpoint), schema, before_last=not over, buckets=True)
+
+
 def run_to_table(stream: DataFrame, name: str) -> DataFrame:
     """Drain the available input into a new table of the shared folder."""
     spark = stream.sparkSession
@@ -131,10 +180,19 @@ def run_merge(stream: DataFrame, name: str, key: str = "post_uri", arrival: str
     spark = stream.sparkSession
     root = fresh_dir(spark, name)
     start_merge(stream, f"{root}/rows", f"{root}/state", key, arrival).awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{root}/rows").drop("run", "batch")
+    return read_merged(spark, f"{root}/rows", stream.schema)
 
 
 def run_hourly(stream: DataFrame, name: str) -> DataFrame:
     root = fresh_dir(stream.sparkSession, name)
     start_hourly(stream, f"{root}/rows", f"{root}/state").awaitTermination()
     return read_hourly(stream.sparkSession, f"{root}/rows")
+
+
+def run_timeline(stream: DataFrame, name: str) -> DataFrame:
+    """Drain the input, compact the stored counts, and read them as a full timeline."""
+    spark = stream.sparkSession
+    root = fresh_dir(spark, name)
+    start_hourly(stream, f"{root}/rows", f"{root}/state").awaitTermination()
+    compact_hourly(spark, f"{root}/rows", f"{root}/state", over=True)
+    return read_timeline(spark, f"{root}/rows")
