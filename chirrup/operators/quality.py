@@ -1,7 +1,8 @@
 """Data-quality suites: a check is a named count of violations.
 
-All checks of one table are columns of a single aggregation, so a suite costs
-one scan per table; keys and foreign keys add one aggregation or anti join.
+A suite reduces each table once to what its checks need (condition bits, key
+digests) and writes that. Conditions are sums over one grouped pass, all keys are
+counted in one tagged union, and a foreign key is one join of rows counted before.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from chirrup import params as P
 from chirrup.functions import text as X
 from chirrup.functions.cleaning import digest_key
 from chirrup.operators.evaluation import PRED, TRUE
+from chirrup.session import written
 
 
 def run_checks(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
@@ -61,41 +63,60 @@ def user_post_checks(
         return F.lower(c).isin("nan", "null", "none", "")
 
     cells = sum((F.col(c).isNull().cast("int") for c in users.columns), F.lit(0))
-    users_suite = run_checks(
-        users,
-        {
-            "users: no missing values": cells > 0,
-            "users: follower_count is not negative": F.col("follower_count") < 0,
-            "users: account_created is a date": F.col("account_created").isNull(),
-        },
-    )
+    on_users = {
+        "users: no missing values": cells > 0,
+        "users: follower_count is not negative": F.col("follower_count") < 0,
+        "users: account_created is a date": F.col("account_created").isNull(),
+    }
     when = F.col("event_time")
     first, last = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
-    posts_suite = run_checks(
-        posts,
-        {
-            "posts: likes is not negative": F.col("likes") < 0,
-            "posts: shares is present and not negative": F.col("shares").isNull() | (F.col("shares") < 0),
-            "posts: comments is present and not negative": F.col("comments").isNull() | (F.col("comments") < 0),
-            "posts: event_time is present": when.isNull(),
-            "posts: platform is a known one": ~F.col("platform").isin(*platforms),
-            "posts: no placeholder text": in_placeholders("platform") | in_placeholders("text_content"),
-            "posts: event_time is in the campaign window": when.isNull() | (when < first) | (when > last),
-        },
-    )
-    authors = users.select("user_id", "account_created")
-    early = posts.select("user_id", "event_time").join(authors, "user_id").filter(
-        F.col("event_time") < F.col("account_created").cast("timestamp_ntz")
-    )
-    return all_of(
-        repeat_check(users, ["user_id"], "users: user_id is unique"),
-        users_suite,
-        repeat_check(posts, posts.columns, "posts: no repeated rows"),
-        repeat_check(posts, ["post_id"], "posts: post_id is unique"),
-        count_check(posts.join(authors, "user_id", "left_anti"), "posts: user_id exists"),
-        posts_suite,
-        count_check(early, "posts: not before the account was created"),
-    )
+    on_posts = {
+        "posts: likes is not negative": F.col("likes") < 0,
+        "posts: shares is present and not negative": F.col("shares").isNull() | (F.col("shares") < 0),
+        "posts: comments is present and not negative": F.col("comments").isNull() | (F.col("comments") < 0),
+        "posts: event_time is present": when.isNull(),
+        "posts: platform is a known one": ~F.col("platform").isin(*platforms),
+        "posts: no placeholder text": in_placeholders("platform") | in_placeholders("text_content"),
+        "posts: event_time is in the campaign window": when.isNull() | (when < first) | (when > last),
+    }
+    # both tables once, without texts: key, condition bits, digests of what must be unique
+    slim_users = written(users.select("user_id", "account_created", _bits(on_users), _digests(users, {"users: user_id is unique": ["user_id"]})), "check-users")
+    slim_posts = written(posts.select("user_id", when.cast("date").alias("day"), _bits(on_posts), _digests(
+        posts, {"posts: no repeated rows": posts.columns, "posts: post_id is unique": ["post_id"]})), "check-posts")
+
+    keys = slim_users.select(F.explode("keys").alias("k")).unionByName(slim_posts.select(F.explode("keys").alias("k")))
+    copies = keys.groupBy("k.name", "k.digest").agg(F.count(F.lit(1)).alias("n")).groupBy("name").agg(F.sum(F.col("n") - 1).alias("violations"))
+    # posts per author and day: an account's first day is a date, so a day is early as a whole
+    days = slim_posts.groupBy("user_id", "day").agg(F.count(F.lit(1)).alias("n"), *_sums(on_posts))
+    authors = slim_users.select("user_id", "account_created", F.lit(True).alias("known"))
+    joined = days.join(authors, "user_id", "left")
+    early = F.sum(F.when(F.col("day") < F.col("account_created"), F.col("n")))
+    links = joined.agg(F.sum(F.when(F.col("known").isNull(), F.col("n"))).alias("posts: user_id exists"), early.alias("posts: not before the account was created"))
+    rows = [slim_users.agg(*_sums(on_users)), days.agg(*[F.sum(F.col(f"`{c}`")).alias(c) for c in on_posts]), links]
+    counted = copies.select(F.col("name").alias("check"), "violations")
+    for r in rows:
+        counted = counted.unionByName(r.unpivot([], [F.col(f"`{c}`") for c in r.columns], "check", "violations"))
+    names = ["users: user_id is unique", *on_users, "posts: no repeated rows", "posts: post_id is unique", "posts: user_id exists", *on_posts,
+             "posts: not before the account was created"]
+    every = users.sparkSession.createDataFrame([(n,) for n in names], "check string")
+    return _verdict(every.join(F.broadcast(counted), "check", "left").select("check", F.coalesce("violations", F.lit(0)).cast("bigint").alias("violations")))
+
+
+def _bits(checks: Mapping[str, Column]) -> Column:
+    """The conditions that hold for a row, one bit each."""
+    return sum((F.when(F.coalesce(bad, F.lit(False)), F.lit(1 << i)).otherwise(0) for i, bad in enumerate(checks.values())), F.lit(0)).alias("bits")
+
+
+def _sums(checks: Mapping[str, Column]) -> list[Column]:
+    return [F.count_if(F.col("bits").bitwiseAND(1 << i) != 0).alias(name) for i, name in enumerate(checks)]
+
+
+def _digests(df: DataFrame, keys: Mapping[str, Sequence[str]]) -> Column:
+    """An entry (name, digest) for each key that must be unique."""
+    def digest(cols: Sequence[str]) -> Column:
+        return F.unhex(F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in cols]), {"ignoreNullFields": "false"}), 256))
+
+    return F.array(*[F.struct(F.lit(name).alias("name"), digest(cols).alias("digest")) for name, cols in keys.items()]).alias("keys")
 
 
 def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str], value: str, tolerance: float) -> DataFrame:
@@ -135,29 +156,33 @@ def result_checks(users: DataFrame, posts: DataFrame) -> DataFrame:
     from chirrup.functions.cleaning import engagement_total
     from chirrup.operators import engagement as E
 
-    rated = posts.withColumn("engagement", engagement_total())
-    merged = rated.join(users, "user_id", "left")
-    tagged = rated.filter(F.col("platform").isNotNull())
+    # the second path: every post meets its user first, and all twins come from one grouped table
+    rated = posts.select("user_id", "platform", engagement_total().alias("engagement"))
+    merged = rated.join(users.select("user_id", "location"), "user_id", "left")
+    twin = written(merged.groupBy("platform", "location", "user_id").agg(
+        F.count(F.lit(1)).alias("posts"), F.count("engagement").alias("rated"), F.sum("engagement").alias("total_engagement")), "twin")
+    tagged, located = F.col("platform").isNotNull(), F.col("location").isNotNull()
+
+    def rows(where: Column) -> Column:
+        return F.coalesce(F.sum(F.when(where, F.col("posts"))), F.lit(0))
+
+    facts = twin.agg(rows(F.lit(True)).alias("posts"), rows(~tagged).alias("untagged"), rows(tagged).alias("tagged"), rows(located).alias("located"),
+                     F.count_distinct("platform").alias("platforms"), F.count_distinct("location").alias("places")).head()
 
-    e3 = E.by_platform(posts)
-    n_tagged = tagged.agg(F.count(F.lit(1)).alias("n")).scalar()
-    n_kinds = tagged.agg(F.count_distinct("platform").alias("n")).scalar()
-    n_untagged = posts.agg(F.count_if(F.col("platform").isNull()).alias("n")).scalar()
-    n_posts = posts.agg(F.count(F.lit(1)).alias("n")).scalar()
-    mean = tagged.groupBy("platform").agg(F.avg("engagement").alias("avg_total_engagement"))
+    e3 = written(E.by_platform(posts), "e3")
+    n_posts, n_untagged, n_tagged, n_kinds = (F.lit(facts[k]) for k in ("posts", "untagged", "tagged", "platforms"))
+    mean = twin.filter(tagged).groupBy("platform").agg((F.sum("total_engagement") / F.sum("rated")).alias("avg_total_engagement"))
     high, low = F.max("avg_total_engagement"), F.min("avg_total_engagement")
 
-    m1 = E.by_location(users, posts)
-    located = merged.filter(F.col("location").isNotNull())
-    m1_twin = located.groupBy("location").agg(F.sum("engagement").alias("total_engagement"))
-    n_places = located.agg(F.count_distinct("location").alias("n")).scalar()
-    n_joined = located.agg(F.count(F.lit(1)).alias("n")).scalar()
+    m1 = written(E.by_location(users, posts), "m1")
+    m1_twin = twin.filter(located).groupBy("location").agg(F.sum("total_engagement").alias("total_engagement"))
+    n_places, n_joined = F.lit(facts["places"]), F.lit(facts["located"])
     top = [F.desc("total_engagement"), F.col("location")]
     m1_top, twin_top = m1.orderBy(*top).limit(3), m1_twin.orderBy(*top).limit(3)
 
-    h2 = E.top_users_by_location(users, posts)
-    per_user = located.groupBy("location", "user_id").agg(F.sum("engagement").alias("total_engagement"))
-    best = E.top_user_per_location(users, posts)
+    h2 = written(E.top_users_by_location(users, posts), "h2")
+    per_user = twin.filter(located).groupBy("location", "user_id").agg(F.sum("total_engagement").alias("total_engagement"))
+    best = written(E.top_user_per_location(users, posts), "best")
     h2_first = h2.filter(F.col("location_rank") == 1)
     active = per_user.groupBy("location").agg(F.count(F.lit(1)).alias("active"))
     small = h2.groupBy("location").agg(F.count(F.lit(1)).alias("n_rows")).join(active, "location").filter(
@@ -220,8 +245,15 @@ def unbalanced(df: DataFrame, groups: Sequence[str], label: str, tolerance_pp: f
     return cells.withColumn("share", share).filter(F.abs(F.col("share") - 100.0 / kinds) > tolerance_pp)
 
 
-def model_checks(predictions: DataFrame, classes: Sequence[str], floor: float = 0.40, reference_f1: float | None = None, max_gap: float = 0.05) -> DataFrame:
-    """Known labels, metrics above a floor, matrix rows equal to class support."""
+def model_checks(
+    predictions: DataFrame, classes: Sequence[str], floor: float = 0.40, reference_f1: float | None = None, max_gap: float = 0.05,
+    balance_pp: Mapping[str, float] | None = None, part: str = "part",
+) -> DataFrame:
+    """Known labels, metrics above a floor, matrix rows equal to class support.
+
+    With `balance_pp`, the true classes of each part of the scored rows (column
+    `part`) are near an even split, within that many percentage points.
+    """
     from chirrup.operators import evaluation as EV
 
     overall = EV.overall_metrics(predictions)
@@ -236,4 +268,6 @@ def model_checks(predictions: DataFrame, classes: Sequence[str], floor: float =
     ]
     if reference_f1 is not None:
         suites.append(expect(overall, "gap to reference F1", f1, F.abs(f1 - reference_f1) <= max_gap))
+    for name, points in (balance_pp or {}).items():
+        suites.append(count_check(unbalanced(predictions.filter(F.col(part) == name), [part], TRUE, points), f"classes of {name} within {points:g} points"))
     return all_of(*suites)

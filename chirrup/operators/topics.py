@@ -15,6 +15,7 @@ from chirrup import params as P
 from chirrup.functions import cleaning as C, text as X
 from chirrup.functions.arrays import one_row_each
 from chirrup.operators.ranking import small_side, top_per_group
+from chirrup.session import written
 
 
 def with_terms(df: DataFrame, text: str, params: P.TfidfParams, name: str = "terms") -> DataFrame:
@@ -170,7 +171,9 @@ def topics_by_event(
 
     Each bucket is its own corpus: vocabulary cut, idf and norms are per event
     and role. Terms are counted inside the post row before the join, and the
-    vocabulary cut is a group limit, so a busy hour is spread over tasks.
+    vocabulary cut is a group limit, so a busy hour is spread over tasks. The
+    vocabularies (`max_terms` per event and role) are broadcast after a check of
+    their number; otherwise they are joined by term.
     """
     group = ["event_id", "role"]
     cleaned = posts.select(key, "created_at", X.clean_for_topics(X.clean_text(text)).alias("t"))
@@ -179,13 +182,15 @@ def topics_by_event(
     with_tokens = usable.withColumn("tokens", tokens)
     with_grams = with_tokens.withColumn("terms", X.word_ngrams(F.col("tokens"), 1, 2))
     counted = count_terms(with_grams, F.col("terms")).select(key, "created_at", "counted")
-    placed = event_posts(counted, events).select(*group, key, "counted").repartition(*group, key)
+    # written once: the vocabulary and the scores both read it, and texts are cut into terms once
+    placed = written(event_posts(counted, events).select(*group, key, "counted"), "placed-terms")
     tf = one_row_each(placed, [*group, key], F.col("counted"), "c").select(*group, key, "c.*")
     sizes = placed.groupBy(*group).agg(F.count(F.lit(1)).alias("n_posts"))
     freq = tf.groupBy(*group, "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
     kept = top_per_group(freq, group, [F.desc("total"), F.col("term")], params.max_terms, "_r")
-    vocab = kept.join(sizes, group).select(*group, "term", smooth_idf(F.col("n_posts"), F.col("df")).alias("idf"))
-    raw = tf.join(vocab, [*group, "term"]).withColumn("w", F.col("tf") * F.col("idf"))
+    vocab = written(kept.join(sizes, group).select(*group, "term", smooth_idf(F.col("n_posts"), F.col("df")).alias("idf")), "event-vocabulary")
+    # the few kept terms meet the texts where they are; only weights of kept terms move, to their text's norm
+    raw = tf.join(small_side(vocab), [*group, "term"]).withColumn("w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(*group, key)))
     weighted = raw.select(*group, "term", (F.col("w") / norm).alias("weight"))
     scores = weighted.groupBy(*group, "term").agg(F.round(F.sum("weight"), 6).alias("score"))

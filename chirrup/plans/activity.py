@@ -46,6 +46,12 @@ def engagement_by_platform(spark, d):
     return _rounded(E.by_platform(posts(spark, d)), 6, "avg_likes", "avg_shares", "avg_comments", "avg_total_engagement")
 
 
+def tied_locations(spark, d):
+    """Locations whose third place is shared when users are ranked by whole ten thousands of engagement."""
+    coarse = E.author_totals(users(spark, d), posts(spark, d)).withColumn("total_engagement", F.floor(F.col("total_engagement") / 10_000))
+    return E.location_ties(R.top_per_group(coarse, ["location"], [F.desc("total_engagement")], 3, "location_rank", ties=True))
+
+
 def follower_corr(spark, d):
     return _rounded(E.follower_correlation(users(spark, d), posts(spark, d)), 9, "corr_engagement", "corr_likes")
 
@@ -266,6 +272,11 @@ QUERIES: dict[str, Query] = {
         QUALIFY row_number() OVER (PARTITION BY location ORDER BY total_engagement DESC, user_id) = 1"""),
     "h2_location_ties": Query(ties, f"""{_LEADERS} SELECT location, count(*) AS n_rows,
         count(*) FILTER (WHERE location_rank = 3) AS n_last FROM ranked WHERE location_rank <= 3 GROUP BY location"""),
+    "h2_tied_locations": Query(tied_locations, f"""{S.with_views('users', 'posts')},
+        per_user AS (SELECT location, user_id, floor(sum({ENGAGEMENT}) / 10000) AS k FROM posts JOIN users USING (user_id) GROUP BY ALL),
+        placed AS (SELECT location, (SELECT count(*) FROM per_user b WHERE b.location IS NOT DISTINCT FROM a.location AND b.k > a.k) + 1 AS place FROM per_user a)
+        SELECT location, count(*) AS n_rows, count(*) FILTER (WHERE place = 3) AS n_last FROM placed WHERE place <= 3 GROUP BY location
+        HAVING count(*) > 3 OR count(*) FILTER (WHERE place = 3) > 1"""),
     "e3_engagement_by_platform": Query(engagement_by_platform, f"""{S.with_views('posts')}
         SELECT platform, count(*) AS post_count, round(avg(likes), 6) AS avg_likes, round(avg(shares), 6) AS avg_shares,
                round(avg(comments), 6) AS avg_comments, round(avg({ENGAGEMENT}), 6) AS avg_total_engagement

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from chirrup import params as P
 from chirrup.functions import cleaning as C
-from chirrup.operators import clean as CL, evaluation as EV, quality as Q, ranking as R, splits as SP
+from chirrup.operators import clean as CL, engagement as E, evaluation as EV, quality as Q, ranking as R, splits as SP
 from chirrup.operators import timeline as TL, triggers as TR
 from chirrup.sources import artifacts as A, collect as CO, files as FI, roles
 
@@ -194,3 +194,34 @@ def test_digest_key_tells_nulls_from_texts(spark):
     df = spark.createDataFrame(rows, "x string, y string, n int")
     assert df.groupBy(*C.digest_key(df, df.columns)).count().count() == 4
     assert Q.repeated(df, df.columns).head()[0] == 1
+
+
+def test_suites_with_repeats_hot_authors_and_few_scans(spark):
+    users = spark.createDataFrame([(str(i % 50), "x", "en", dt.date(2024, 1, 10), 5) for i in range(51)],
+                                  "user_id string, location string, language string, account_created date, follower_count long")
+    rows = [(f"p{i}", "0" if i % 3 else str(i % 60), "Reddit", "t", "r", dt.datetime(2024, 1, 1 + i % 20), 1, 1, 1) for i in range(300)]
+    rows += rows[:4] + [("p0", "1", "Reddit", "other", "r", dt.datetime(2024, 1, 15), 1, 1, 1), ("new", None, "X", None, None, None, None, None, None)]
+    posts = spark.createDataFrame(rows, FI.POSTS_SCHEMA)
+    got = {r["check"]: r["violations"] for r in Q.user_post_checks(users, posts, ("Reddit",), "2024-01-01 00:00:00", "2024-01-18 23:59:59").collect()}
+    ids = [r[1] for r in rows]
+    known = {str(i) for i in range(50)}
+    assert got["users: user_id is unique"] == 1 and got["posts: no repeated rows"] == 4 and got["posts: post_id is unique"] == 5
+    assert got["posts: user_id exists"] == sum(i not in known for i in ids)
+    early = sum((2 if r[1] == "0" else 1) for r in rows if r[1] in known and r[5] is not None and r[5] < dt.datetime(2024, 1, 10))
+    assert got["posts: not before the account was created"] == early  # the author listed twice is met twice
+    assert got["posts: event_time is present"] == 1 and got["posts: platform is a known one"] == 1
+    assert got["posts: event_time is in the campaign window"] == 1 + sum(r[5] is not None and r[5].day > 18 for r in rows)
+    empty = Q.user_post_checks(users.limit(0), posts.limit(0)).collect()
+    assert len(empty) == 15 and all(r["violations"] == 0 and r["passed"] for r in empty)
+
+
+def test_ties_at_the_last_rank(spark):
+    ranked = spark.createDataFrame([("a", 1), ("a", 2), ("a", 3), ("b", 1), ("b", 2), ("b", 3), ("b", 3), ("c", 1), ("c", 1), ("c", 1), ("c", 1)], "location string, location_rank long")
+    assert {(r.location, r.n_rows, r.n_last) for r in E.location_ties(ranked).collect()} == {("b", 4, 2), ("c", 4, 0)}
+
+
+def test_class_balance_of_scored_parts(spark):
+    rows = [("val", c) for c in ("A", "B", "C") for _ in range(10)] + [("test", "A")] * 12 + [("test", "B")] * 9 + [("test", "C")] * 3
+    scored = spark.createDataFrame([(p, c, c) for p, c in rows], "part string, true_label string, predicted_label string")
+    got = {r["check"]: r["violations"] for r in Q.model_checks(scored, ("A", "B", "C"), balance_pp={"val": 6.0, "test": 7.0}).collect()}
+    assert got["classes of val within 6 points"] == 0 and got["classes of test within 7 points"] == 2
