@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from chirrup import params as P
 from chirrup.functions import cleaning as C
-from chirrup.operators import clean as CL, engagement as E, profile as PR, quality as Q, ranking as R
+from chirrup.operators import clean as CL, engagement as E, profile as PR, quality as Q, ranking as R, sketches as SK
 from chirrup.plans import check_sql as S
 from chirrup.plans.registry import Query
+from chirrup.session import written
 from chirrup.sources import files as FI, roles
 from chirrup.sources.roles import dirty_posts, posts, raw_users, users
 
@@ -160,6 +161,51 @@ def stored_clean(spark, d):
     return back.groupBy("month").agg(F.count(F.lit(1)).alias("n"), F.sum("likes").alias("likes"))
 
 
+def reloaded(spark, d):
+    """The same table after one month was corrected and loaded again, twice; other months stay."""
+    from chirrup.session import fresh_dir
+
+    path = fresh_dir(spark, "silver")
+    c = CL.clean_posts(dirty_posts(spark, d)).withColumn("month", F.date_format("event_time", "yyyy-MM"))
+    FI.write_table(c, path, FI.CLEAN_POSTS, "month", sort_by=["event_time"])
+    mended = c.filter("month = '1996-03'").withColumn("likes", F.col("likes") + 1)
+    for _ in range(2):
+        FI.write_table(mended, path, FI.CLEAN_POSTS, "month", "partitions", ["event_time"])
+    back = FI.read_table(spark, path, FI.POSTS_SCHEMA + ", month string")
+    return back.groupBy("month").agg(F.count(F.lit(1)).alias("n"), F.sum("likes").alias("likes"))
+
+
+def sketched_distinct(spark, d):
+    """Distinct authors and platforms over all posts from merged monthly sketches, against the exact numbers."""
+    columns = ["user_id", "platform", "post_id"]
+    monthly = written(SK.distinct_sketches(posts(spark, d).withColumn("month", F.date_format("event_time", "yyyy-MM")), columns, ["month"]), "sketches")
+    found = SK.distinct_estimates(SK.merged_distinct(monthly, columns), columns)
+    exact = posts(spark, d).agg(*[F.count_distinct(c).alias(c) for c in columns]).unpivot([], columns, "column_name", "n_distinct")
+    near = F.abs(F.col("estimate") - F.col("n_distinct")) <= 0.05 * F.col("n_distinct")
+    return exact.join(found, "column_name").select("column_name", "n_distinct", near.alias("within"))
+
+
+def sketched_quantiles(spark, d):
+    """Deciles of likes and shares from merged monthly sketches: within one and a half percent of their rank."""
+    columns, shares = ["likes", "shares"], [i / 10 for i in range(1, 10)]
+    p = posts(spark, d)
+    monthly = written(SK.quantile_sketches(p.withColumn("month", F.date_format("event_time", "yyyy-MM")), columns, ["month"]), "sketches")
+    merged = SK.merged_quantiles(monthly, columns)
+    found = merged.select(F.struct(*[F.array(*[SK.quantile(c, s) for s in shares]).alias(c) for c in columns]).alias("q")).scalar()
+    errors = p.agg(*[F.array(*[SK.rank_error(p, c, F.get(found[c], F.lit(i)), s) for i, s in enumerate(shares)]).alias(c) for c in columns])
+    long = errors.unpivot([], columns, "column_name", "errors").select("column_name", F.posexplode("errors").alias("at", "error"))
+    return long.select("column_name", ((F.col("at") + 1) / 10).alias("p"), (F.col("error") <= 0.015).alias("within"))
+
+
+def sketched_deciles(spark, d):
+    """Follower cuts of the sketch: as far from ranks 0.1 and 0.9 of the posts as the sketch may be."""
+    u, p = users(spark, d), posts(spark, d)
+    cuts = SK.follower_deciles_sketched(u, p).select(F.struct("bottom_cut", "top_cut").alias("c")).scalar()
+    rows = p.join(u, "user_id").select(F.col("follower_count").alias("v"))
+    errors = rows.agg(SK.rank_error(rows, "v", cuts["bottom_cut"], 0.1).alias("bottom"), SK.rank_error(rows, "v", cuts["top_cut"], 0.9).alias("top"))
+    return errors.unpivot([], ["bottom", "top"], "cut", "error").select("cut", (F.col("error") <= 0.015).alias("within"))
+
+
 def first_rows(spark, d):
     text = F.col("text_content")
     return PR.first_examples(
@@ -391,6 +437,16 @@ QUERIES: dict[str, Query] = {
         FROM tidy GROUP BY format"""),
     "stored_clean_posts": Query(stored_clean, f"""{_CLEAN}
         SELECT strftime(event_time, '%Y-%m') AS month, count(*) AS n, CAST(sum(likes) AS BIGINT) AS likes FROM clean GROUP BY 1"""),
+    "reloaded_month": Query(reloaded, f"""{_CLEAN}
+        SELECT strftime(event_time, '%Y-%m') AS month, count(*) AS n,
+               CAST(sum(likes) + CASE WHEN strftime(event_time, '%Y-%m') = '1996-03' THEN count(likes) ELSE 0 END AS BIGINT) AS likes FROM clean GROUP BY 1"""),
+    "sketched_distinct": Query(sketched_distinct, f"""{S.with_views('posts')}
+        SELECT 'user_id' AS column_name, count(DISTINCT user_id) AS n_distinct, true AS within FROM posts
+        UNION ALL SELECT 'platform', count(DISTINCT platform), true FROM posts UNION ALL SELECT 'post_id', count(DISTINCT post_id), true FROM posts"""),
+    "sketched_quantiles": Query(sketched_quantiles, f"""{S.with_views('posts')}
+        SELECT c AS column_name, i / 10 AS p, count(*) > 0 AS within FROM posts, (SELECT unnest(['likes', 'shares']) AS c), range(1, 10) t(i) GROUP BY ALL"""),
+    "sketched_deciles": Query(sketched_deciles, f"""{S.with_views('posts')}
+        SELECT unnest(['bottom', 'top']) AS cut, count(*) > 0 AS within FROM posts"""),
     "first_examples": Query(first_rows, f"""{S.with_views('dirty')}
         SELECT DISTINCT CAST(post_id AS BIGINT) AS n, text_content FROM dirty WHERE contains(text_content, '@user') ORDER BY n LIMIT 3"""),
     "row_sample": Query(sample, f"""{S.with_views('posts')}

@@ -47,18 +47,31 @@ def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def write_table(df: DataFrame, path: str, columns: Sequence[str], partition_by: str | None = None) -> None:
-    """Write in a fixed column order; `partition_by` is a low-cardinality column."""
+def write_table(
+    df: DataFrame, path: str, columns: Sequence[str], partition_by: str | None = None, replace: str = "table", sort_by: Sequence[str] = (),
+) -> None:
+    """Write in a fixed column order; `partition_by` is a low-cardinality column.
+
+    Rows are rebalanced by the partition column: tasks, and so files, have
+    about the advisory partition size. A hot month is split over as many files
+    as it needs and a small one stays in one, unless it shares its hash
+    partition with a hot one. `sort_by` orders rows inside a
+    file, for tight value ranges in its footers. With `replace="partitions"`
+    only the partitions present in `df` are replaced, so a month can be loaded
+    again any number of times; "table" replaces everything.
+    """
+    if replace not in ("table", "partitions"):
+        raise ValueError(f"replace is 'table' or 'partitions', not {replace!r}")
     names = [*columns, *([partition_by] if partition_by else [])]
     out = df.select(*names)
-    if partition_by:
-        # one writer per partition value and hash slice, so a hot month is
-        # still written by many tasks
-        out = out.repartition(F.col(partition_by), F.pmod(F.xxhash64(columns[0]), F.lit(16)))
-    writer = out.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    if not partition_by:
+        if replace == "partitions":
+            raise ValueError("a table without partitions is replaced as a whole")
+        (out.sortWithinPartitions(*sort_by) if sort_by else out).write.mode("overwrite").parquet(path)
+        return
+    out = out.hint("rebalance", partition_by).sortWithinPartitions(partition_by, *sort_by)
+    mode = "dynamic" if replace == "partitions" else "static"
+    out.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(partition_by).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, columns: Sequence[str]) -> None:
