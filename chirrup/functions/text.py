@@ -13,6 +13,7 @@ from functools import reduce
 from operator import or_
 
 import pandas as pd
+from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, functions as F
 
 from chirrup import params as P
@@ -150,6 +151,11 @@ def has_any_phrase(c: str | Column, phrases: Iterable[str]) -> Column:
     return reduce(or_, [col_of(c).contains(p) for p in phrases])
 
 
+def english_stop_words() -> tuple[str, ...]:
+    """The English stop words that Spark ships (needs a running session)."""
+    return tuple(StopWordsRemover.loadDefaultStopWords("english"))
+
+
 def mentions_product(c: str | Column) -> Column:
     return col_of(c).rlike("(?iU)" + _whole_words(P.PRODUCT_KEYWORDS))
 

@@ -107,7 +107,7 @@ def tfidf(docs: DataFrame, key: str, text: str, params: P.TfidfParams = P.WORD_T
 # ----------------------------------------------------------- corpus profiles
 def top_tokens(df: DataFrame, text: str, groups: Sequence[str], n: int = 20) -> DataFrame:
     """Most frequent social tokens per class, stop words removed."""
-    stops = (*P.STOP_WORDS, *P.SOCIAL_STOP_WORDS)
+    stops = (*X.english_stop_words(), *P.SOCIAL_STOP_WORDS)
     tokens = X.without_stop_words(X.social_tokens(text), stops)
     counts = one_row_each(df, groups, tokens, "term").groupBy(*groups, "term").agg(
         F.count(F.lit(1)).alias("n")
@@ -178,7 +178,7 @@ def topics_by_event(
     group = ["event_id", "role"]
     cleaned = posts.select(key, "created_at", X.clean_for_topics(X.clean_text(text)).alias("t"))
     usable = cleaned.filter(F.length("t") >= params.min_text_chars)
-    tokens = X.without_stop_words(X.topic_tokens("t"), P.STOP_WORDS)
+    tokens = X.without_stop_words(X.topic_tokens("t"), X.english_stop_words())
     with_tokens = usable.withColumn("tokens", tokens)
     with_grams = with_tokens.withColumn("terms", X.word_ngrams(F.col("tokens"), 1, 2))
     counted = count_terms(with_grams, F.col("terms")).select(key, "created_at", "counted")

@@ -11,6 +11,24 @@ from collections.abc import Iterable
 from chirrup import params as P
 from chirrup.sources.roles import CLOSERS, OPENERS
 
+# The stop words that the queries are expected to use, stated here on their own.
+STOP_WORDS = tuple(
+    "i me my myself we our ours ourselves you your yours yourself yourselves he "
+    "him his himself she her hers herself it its itself they them their theirs "
+    "themselves what which who whom this that these those am is are was were be "
+    "been being have has had having do does did doing a an the and but if or "
+    "because as until while of at by for with about against between into through "
+    "during before after above below to from up down in out on off over under "
+    "again further then once here there when where why how all any both each few "
+    "more most other some such no nor not only own same so than too very s t can "
+    "will just don should now i'll you'll he'll she'll we'll they'll i'd you'd "
+    "he'd she'd we'd they'd i'm you're he's she's it's we're they're i've we've "
+    "you've they've isn't aren't wasn't weren't haven't hasn't hadn't don't "
+    "doesn't didn't won't wouldn't shan't shouldn't mustn't can't couldn't cannot "
+    "could here's how's let's ought that's there's what's when's where's who's "
+    "why's would".split()
+)
+
 
 def quote(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
@@ -221,7 +239,10 @@ def sarcasm(expr: str) -> str:
 
 
 def product(expr: str) -> str:
-    return hit(expr, word_list_pattern(P.PRODUCT_KEYWORDS))
+    """A mention of the product as a whole word: the phone with or without a number, its system, chips and launches."""
+    compounds = ["iphone", "iphone16", "iphone17", "iphone18", "iphoneduo", "appleiphone", "alarmkit", "a19", "a20"]
+    spaced = [r"ios\s*26", r"ios\s*27", r"apple\s+launch", r"apple\s+event", r"apple\s+announcement", r"apple\s+silicon"]
+    return hit(expr, word_list_pattern([*compounds, *spaced]))
 
 
 def entity(expr: str, name: str) -> str:

@@ -76,7 +76,7 @@ _LENGTHS = """count(*) AS n, min(c) AS chars_min, max(c) AS chars_max, round(avg
     median(w) AS words_median, round(stddev_samp(w), 2) AS words_std"""
 _SIZED = S.with_views("all_texts", sized=f"SELECT kind, length(text) AS c, len({S.words('text')}) AS w FROM all_texts")
 _LABELLED = S.with_views("labelled", lab=f"SELECT *, {S.clean_text('post_text')} AS text_clean FROM labelled")
-_STOPS = S.listing((*P.STOP_WORDS, *P.SOCIAL_STOP_WORDS))
+_STOPS = S.listing((*S.STOP_WORDS, *P.SOCIAL_STOP_WORDS))
 
 
 def word_terms(source: str, key: str, text: str) -> dict[str, str]:

@@ -201,7 +201,7 @@ _USER_EVENTS = {
 
 
 def _topic_views(source):
-    stops = S.listing(P.STOP_WORDS)
+    stops = S.listing(S.STOP_WORDS)
     return {
         "eh": """SELECT event_id, 'current' AS role, hour AS h FROM ev UNION ALL
                  SELECT event_id, 'previous', prev_hour FROM ev WHERE prev_hour IS NOT NULL""",

@@ -142,3 +142,21 @@ def test_entities(spark):
 )
 def test_product_filter(spark, text, hit):
     assert one(spark, X.mentions_product("v"), text) is hit
+
+
+def test_product_filter_knows_every_phrase(spark):
+    yes = ("iphone 16", "iPhone17", "iphone  18", "iphoneduo", "iphone duo", "appleiphone", "apple iphone", "iphone pro", "iphone launch", "ios26", "iOS 27",
+           "AlarmKit", "iphone preorder", "iphone order", "iphone release", "apple launch", "Apple  event", "apple announcement", "iphone camera", "iphone battery",
+           "iphone price", "iphone review", "iphone chip", "iphone feature", "iphone upgrade", "iphone buy", "iphone unbox", "iphone teardown", "apple silicon", "A19", "a20", "iphone")
+    no = ("iphone15", "iphones", "myiphone", "appleiphone17", "ios 25", "apple pie", "applelaunch", "a190", "ba20", "alarmkits", "")
+    df = spark.createDataFrame([(t,) for t in [*yes, *no]], "t string")
+    got = {r.t for r in df.where(X.mentions_product("t")).collect()}
+    assert got == set(yes)
+    around = df.select(F.concat(F.lit("so, "), "t", F.lit("!")).alias("t"))
+    assert around.where(X.mentions_product("t")).count() == len(yes)
+
+
+def test_stop_words_are_the_expected_list(spark):
+    from chirrup.plans import check_sql
+
+    assert set(X.english_stop_words()) == set(check_sql.STOP_WORDS)
