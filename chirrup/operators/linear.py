@@ -47,7 +47,7 @@ class ModelSpec:
     c: float = 1.0
     balanced: bool = False
     limit: int = 2000  # evaluations
-    tolerance: float = 1e-5
+    tolerance: float = 1e-4  # largest entry of the gradient of the mean objective
 
     @property
     def config(self) -> str:
@@ -345,18 +345,59 @@ def evaluate(blocks: DataFrame, problems: Sequence[Problem], trials: Sequence[np
     return out
 
 
+def column_squares(blocks: DataFrame, size: int) -> np.ndarray:
+    """Sum of squared values of every feature column."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            for col, val in zip(batch.column("col"), batch.column("val")):
+                v = np.frombuffer(val.as_buffer(), np.float64)
+                total += np.bincount(np.frombuffer(col.as_buffer(), np.int32), v * v, size)
+        slots = range(0, size, SLOT)
+        yield pa.RecordBatch.from_arrays([pa.array([s // SLOT for s in slots], pa.int32()), pa.array([total[s : s + SLOT].tobytes() for s in slots], pa.binary())], ["slot", "part"])
+
+    out = np.zeros(size)
+    rows = blocks.mapInArrow(run, "slot int, part binary").repartition("slot").mapInArrow(_added, "slot int, part binary").toArrow()
+    for slot, part in zip(rows.column("slot").to_pylist(), rows.column("part")):
+        values = np.frombuffer(part.as_buffer(), np.float64)
+        out[slot * SLOT : slot * SLOT + len(values)] = values
+    return out
+
+
 # ---- solver -------------------------------------------------------------------------------------
 
-def lbfgs(x: np.ndarray, tolerance: float, limit: int, memory: int = 12) -> Generator[np.ndarray, tuple[float, np.ndarray], np.ndarray]:
+def scales(problem: Problem, squares: np.ndarray) -> np.ndarray:
+    """Step lengths that even out the curvature of the columns: features are rare, the intercept is in every row.
+
+    They halve the passes of the log loss; the squared hinge needs more passes with them, so it goes without.
+    """
+    if problem.kind == "svm":
+        return np.ones(problem.shape)
+    curve = 0.25 * np.append(squares[problem.used], problem.total) / problem.total + 1.0 / (problem.c * problem.total)
+    return np.repeat(1.0 / np.sqrt(curve)[:, None], problem.width, axis=1)
+
+
+def lbfgs(x: np.ndarray, tolerance: float, limit: int, scale: np.ndarray | float = 1.0, memory: int = 12) -> Generator[np.ndarray, tuple[float, np.ndarray], np.ndarray]:
     """Minimise a smooth convex function; yields points and is sent (value, gradient).
 
     Two-loop recursion with a bracketing line search on the weak Wolfe
-    conditions. Returns the first point where no entry of the gradient exceeds
-    `tolerance`; raises after `limit` evaluations.
+    conditions, in coordinates divided by `scale`. Returns the first point where
+    no entry of the gradient exceeds `tolerance`; raises after `limit` evaluations.
     """
+    inner = _scaled_lbfgs(x / scale, lambda g: np.abs(g / scale).max(initial=0.0) <= tolerance, limit, memory)
+    point = next(inner)
+    while True:
+        value, grad = yield point * scale
+        try:
+            point = inner.send((value, grad * scale))
+        except StopIteration as end:
+            return end.value * scale
+
+
+def _scaled_lbfgs(x: np.ndarray, good: Callable[[np.ndarray], bool], limit: int, memory: int) -> Generator[np.ndarray, tuple[float, np.ndarray], np.ndarray]:
     value, grad = yield x
     used, steps = 1, []
-    while np.abs(grad).max(initial=0.0) > tolerance:
+    while not good(grad):
         d, kept = -grad.ravel(), []
         for s, y in reversed(steps):
             a = (s @ d) / (s @ y)
@@ -375,11 +416,11 @@ def lbfgs(x: np.ndarray, tolerance: float, limit: int, memory: int = 12) -> Gene
         t, low, high = (1.0 if steps else min(1.0, 1.0 / np.abs(grad).sum())), 0.0, np.inf
         while True:
             if used >= limit:
-                raise RuntimeError(f"no optimum after {used} evaluations: gradient {np.abs(grad).max():.2e}, wanted {tolerance:.0e}")
+                raise RuntimeError(f"no optimum after {used} evaluations")
             trial = x + t * d
             new_value, new_grad = yield trial
             used += 1
-            if np.abs(new_grad).max(initial=0.0) <= tolerance:
+            if good(new_grad):
                 return trial
             if new_value > value + 1e-4 * t * slope + 1e-13 * abs(value):
                 high = t
@@ -445,11 +486,11 @@ def problems_of(spec: ModelSpec, vocabulary: Vocabulary, count: np.ndarray) -> l
 
 def _fitted(blocks: DataFrame, specs: Sequence[ModelSpec], vocabulary: Vocabulary, count: np.ndarray, classes: tuple[str, ...], parts: int) -> dict[str, LinearModel]:
     solvers, done = {}, {}
-    for spec in specs:
-        if spec.algorithm == "nb":
-            continue
+    convex = [spec for spec in specs if spec.algorithm != "nb"]
+    squares = column_squares(blocks, vocabulary.size) if convex else None
+    for spec in convex:
         for p in problems_of(spec, vocabulary, count):
-            solvers[spec.run_id, p.target] = (p, lbfgs(np.zeros(p.shape), spec.tolerance, spec.limit))
+            solvers[spec.run_id, p.target] = (p, lbfgs(np.zeros(p.shape), spec.tolerance, spec.limit, scales(p, squares)))
     asked = {k: next(s) for k, (_, s) in solvers.items()}
     while asked:
         keys = list(asked)
