@@ -19,37 +19,55 @@ SPELLINGS = (
 )
 
 
+# A line that is a copyright notice: it begins as one and names a year or carries the sign, or it only reserves rights.
+# A line of running text that begins with the word is none of these, however the text is wrapped.
+NOTICE = (r"(?mi)^[^\p{L}\p{N}\n(©]*(?:(?=[^\n]*(?:\(c\)|©|\b(?:19|20)\d\d\b))(?:copyright\b|\(c\)|©)[^\n]*"
+          r"|all rights reserved[^\p{L}\p{N}\n]*)$")
+
+
 def canonical(text: Column) -> Column:
-    """Lower case, no copyright lines, punctuation as one space, one spelling for equivalents."""
-    lower = F.lower(F.coalesce(text, F.lit("")))
-    body = F.regexp_replace(lower, r"(?m)^[^a-z0-9\n]*(?:copyright\b|\(c\)|©|all rights reserved)[^\n]*$", " ")
-    words = F.concat(F.lit(" "), F.regexp_replace(body, r"[^\p{L}\p{M}\p{N}]+", " "), F.lit(" "))
+    """Lower case, line breaks and punctuation as one space, one spelling for equivalents."""
+    words = F.concat(F.lit(" "), F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{M}\p{N}]+", " "), F.lit(" "))
     for old, new in SPELLINGS:
         words = F.replace(words, F.lit(f" {old} "), F.lit(f" {new} "))
     return F.trim(words)
 
 
-def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
-    """(digest, license_id) of the known wordings; the list is part of the package, so its size is fixed."""
+def without_notices(text: Column) -> Column:
+    """The text without its copyright lines."""
+    return F.regexp_replace(text, NOTICE, " ")
+
+
+def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> list[tuple[str, str]]:
+    """(digest, license_id) of the known wordings, with and without their copyright lines; the caller's list bounds its size."""
     rows = spark.createDataFrame(list(known), "license_id string, wording string")
-    return rows.select(F.sha2(canonical(F.col("wording")), 256).alias("digest"), "license_id").distinct()
+    forms = F.array_distinct(F.array(canonical(F.col("wording")), canonical(without_notices(F.col("wording")))))
+    made = rows.select("license_id", F.explode(forms).alias("form")).where("form <> ''").select(F.sha2("form", 256).alias("digest"), "license_id")
+    return sorted((r.digest, r.license_id) for r in made.distinct().collect())
 
 
 def scan(docs: DataFrame, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
     """One row per distinct (doc_id, license_id, scope) with `matches`.
 
-    scope `text`: the document's entire text is the license. scope `line`: an
+    scope `text`: the document's entire text is the license, however its lines
+    are wrapped and with or without copyright lines. scope `line`: an
     entire line of a longer text is a license wording; `matches` counts such
     lines over all rows of the id. Null, empty and all-copyright texts match
     nothing. Null ids form one group.
     """
-    digests = F.broadcast(known_digests(docs.sparkSession, known))
+    spark = docs.sparkSession
+    listed = known_digests(spark, known)
+    digests = F.broadcast(spark.createDataFrame(listed, "digest string, license_id string"))
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.trim(x)) > 0)
     units = docs.select("doc_id", text.alias("text"), lines.alias("lines"))
     whole = units.select("doc_id", F.lit("text").alias("scope"), F.col("text").alias("unit"))
     parts = units.where(F.size("lines") > 1).select("doc_id", F.lit("line").alias("scope"), F.explode("lines").alias("unit"))
+    # A unit counts once: as it is if that is known, else without its copyright lines, which few units have.
+    unit = F.col("unit")
+    bare = F.when(unit.rlike(NOTICE), F.sha2(canonical(without_notices(unit)), 256)).otherwise(F.lit(""))
+    as_it_is = F.array(F.sha2(canonical(unit), 256))
+    chosen = F.get(F.transform(as_it_is, lambda d: F.when(d.isin([x for x, _ in listed]), d).otherwise(bare)), F.lit(0))
     # Never null, so the optimizer adds no null filter, which would canonicalise every unit a second time.
-    digest = F.coalesce(F.sha2(canonical(F.col("unit")), 256), F.lit(""))
-    return (whole.union(parts).select("doc_id", "scope", digest.alias("digest"))
+    return (whole.union(parts).select("doc_id", "scope", F.coalesce(chosen, F.lit("")).alias("digest"))
             .join(digests, "digest").groupBy("doc_id", "license_id", "scope").agg(F.count(F.lit(1)).alias("matches")))

@@ -149,23 +149,28 @@ SELECT doc_id, CASE WHEN x.d = 0 THEN '-' ELSE lpad(bin(x.p), CAST(x.d AS INTEGE
 
 
 def _canonical_sql(text: str) -> str:
-    body = f"regexp_replace(lower({text}), '(?m)^[^a-z0-9\\n]*(?:copyright\\b|\\(c\\)|©|all rights reserved)[^\\n]*$', ' ', 'g')"
-    words = f"' ' || regexp_replace({body}, '[^\\p{{L}}\\p{{M}}\\p{{N}}]+', ' ', 'g') || ' '"
+    words = f"' ' || regexp_replace(lower({text}), '[^\\p{{L}}\\p{{M}}\\p{{N}}]+', ' ', 'g') || ' '"
     for old, new in licenses.SPELLINGS:
         words = f"replace({words}, ' {old} ', ' {new} ')"
     return f"trim({words})"
 
 
+# A copyright line, said without look-ahead: the sign or a year after the opening word, or the sign as the opening.
+_NOTICE_SQL = (r"(?mi)^[^\p{L}\p{N}\n(©]*(?:\(c\)[^\n]*|©[^\n]*|copyright\b[^\n]*(?:\(c\)|©|\b(?:19|20)[0-9][0-9]\b)[^\n]*"
+               r"|all rights reserved[^\p{L}\p{N}\n]*)$")
 _KNOWN_SQL = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in KNOWN)
 OP10_SQL = f"""
 WITH known(license_id, wording) AS (VALUES {_KNOWN_SQL}),
-wording AS (SELECT DISTINCT license_id, {_canonical_sql('wording')} AS c FROM known),
+wording AS (
+  SELECT license_id, {_canonical_sql('wording')} AS c FROM known
+  UNION SELECT license_id, {_canonical_sql(f"regexp_replace(wording, '{_NOTICE_SQL}', ' ', 'g')")} FROM known),
 line AS (SELECT doc_id, len(string_split(text, chr(10))) AS n, unnest(string_split(text, chr(10))) AS unit FROM documents),
 parts AS (
   SELECT doc_id, 'text' AS scope, text AS unit FROM documents
-  UNION ALL SELECT doc_id, 'line', unit FROM line WHERE trim(unit) <> '' AND n > 1)
-SELECT doc_id, license_id, scope, count(*) AS matches
-FROM (SELECT doc_id, scope, {_canonical_sql('unit')} AS c FROM parts) JOIN wording USING (c) GROUP BY doc_id, license_id, scope"""
+  UNION ALL SELECT doc_id, 'line', unit FROM line WHERE trim(unit) <> '' AND n > 1),
+forms AS (SELECT doc_id, scope, {_canonical_sql('unit')} AS c, {_canonical_sql(f"regexp_replace(unit, '{_NOTICE_SQL}', ' ', 'g')")} AS bare FROM parts),
+one AS (SELECT doc_id, scope, CASE WHEN c IN (SELECT c FROM wording) THEN c ELSE bare END AS c FROM forms)
+SELECT doc_id, license_id, scope, count(*) AS matches FROM one JOIN wording USING (c) WHERE c <> '' GROUP BY doc_id, license_id, scope"""
 
 _DRAW = ", ".join(f"CAST('0x' || substr(s, {1 + 8 * i}, 8) AS BIGINT) AS h{i + 1}" for i in range(4))
 OP11_SQL = f"""

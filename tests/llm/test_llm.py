@@ -288,3 +288,28 @@ def test_full_license_texts_and_notices(spark):
     rows += [(100 + i, n, f"hello\n{t}\nbye", "line") for i, (n, t) in enumerate(NOTICES)]
     got = {(r.doc_id, r.license_id, r.scope) for r in licenses.scan(spark.createDataFrame([(i, t) for i, _, t, _ in rows], "doc_id long, text string")).collect()}
     assert {(i, n, scope) for i, n, _, scope in rows} <= got
+
+
+def test_licenses_are_found_however_they_are_wrapped(spark):
+    import textwrap
+
+    from chirrup.llm.license_texts import BSD_2, BSD_3, FULL, ISC_GRANT, ZLIB
+
+    texts = [*FULL, ("MIT", MIT_GRANT), ("ISC", ISC_GRANT), ("BSD-2-Clause", BSD_2), ("BSD-3-Clause", BSD_3), ("Zlib", ZLIB)]
+    rows = []
+    for name, text in texts:
+        for width in (40, 60, 66, 100):
+            wrapped = "\n\n".join(textwrap.fill(p, width, break_long_words=False) for p in text.split("\n\n"))
+            rows.append((len(rows), name, wrapped))
+            rows.append((len(rows), name, " ".join(wrapped.split())))
+        rows.append((len(rows), name, f"Copyright (c) 2019-2021, Some One <a@b.c>\n# © Another\nAll rights reserved.\n\n{text}"))
+    df = spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, text string")
+    got = {r.doc_id: (r.license_id, r.matches) for r in licenses.scan(df).where("scope = 'text'").collect()}
+    assert got == {i: (name, 1) for i, name, _ in rows}
+
+
+def test_only_notices_are_taken_out(spark):
+    lines = ["Copyright (c) 2020 X", "copyright 1999 Y", " * (C) Z", "© W", "All rights reserved.", "COPYRIGHT HOLDERS AND CONTRIBUTORS BE LIABLE",
+             "copyright notice, this list of conditions", "all rights reserved under this license remain", "the copyright (c) of 2020", "Copyright [yyyy] [name]"]
+    df = spark.createDataFrame([(x,) for x in lines], "t string")
+    assert [r.t for r in df.where(licenses.without_notices(F.col("t")) == F.col("t")).collect()] == lines[5:]
