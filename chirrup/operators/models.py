@@ -115,8 +115,8 @@ def learnability(df: DataFrame, label: str, classes: Sequence[str], margin: floa
 
 # ------------------------------------------------------------ inspection
 def feature_weights(model: LinearModel, n: int = 15) -> DataFrame:
-    """Strongest positive and negative terms per class of a linear model."""
-    table = SC.weight_table(SparkSession.getActiveSession(), model).select("label", "term", F.col("weight").alias("w"))
+    """Strongest positive and negative terms per class of a linear model; weights equal to nine digits are ordered by term."""
+    table = SC.weight_table(SparkSession.getActiveSession(), model).select("label", "term", F.round("weight", 9).alias("w"))
     ends = [top_per_group(table, ["label"], [order, F.col("term")], n).withColumn("direction", F.lit(name))
             for name, order in (("positive", F.desc("w")), ("negative", F.asc("w")))]
     return ends[0].unionByName(ends[1]).select("label", "direction", "rank", "term", F.round("w", 4).alias("weight"))

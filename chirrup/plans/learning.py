@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from chirrup import params as P
 from chirrup.functions import text as X
-from chirrup.operators import clean as CL, engagement as E, evaluation as EV, models as M, quality as Q, scoring as SC, splits as SP
+from chirrup.operators import clean as CL, engagement as E, evaluation as EV, linear as L, models as M, quality as Q, scoring as SC, splits as SP
 from chirrup.plans import check_sql as S
 from chirrup.plans.corpus import labelled, word_terms
 from chirrup.plans.registry import Query
@@ -177,6 +177,23 @@ def weights(spark, d):
     return M.feature_weights(M.fit_model(train, M.ModelSpec("word+lr", (M.WORD,), "lr")))
 
 
+def nb_weights(spark, d):
+    """The same inspection of the naive Bayes model, whose weights are in closed form."""
+    train, _, _ = _parts(spark, d)
+    return M.feature_weights(M.fit_model(train, M.ModelSpec("word+nb", (M.WORD,), "nb")))
+
+
+def union_rows(spark, d):
+    """Features of the training texts under both vectorisers side by side: entries, weight sum and length of each part."""
+    train, _, _ = _parts(spark, d)
+    vocabulary = L.fit_vocabulary(train, (M.CHAR, M.WORD))
+    split = vocabulary.starts[1]
+    rows = L.feature_rows(train, vocabulary, ["text_id"]).select("text_id", F.explode("features").alias("f"))
+    part = F.when(F.col("f.col") < split, "char").otherwise("word")
+    return rows.groupBy("text_id", part.alias("part")).agg(
+        F.count(F.lit(1)).alias("entries"), F.round(F.sum("f.value"), 6).alias("weights"), F.round(F.sum(F.col("f.value") * F.col("f.value")), 6).alias("length"))
+
+
 def learnable(spark, d):
     rows = cut_lineage(labelled(spark, d).select("text_id", F.col("post_text").alias("text_clean"), "topic_category"), "text_id")
     return M.learnability(rows, "topic_category", tuple(P.TOPIC_LABELS))
@@ -226,6 +243,13 @@ def _nb(te):
 
 _NB = _nb("SELECT * FROM rows_ WHERE split = 'test'")
 _NB_DOCS = _nb(f"SELECT doc_id AS text_id, {S.clean_text("coalesce(text, '')")} AS text_clean FROM documents")
+# Character grams of the training texts, counted per text from its words.
+_CHAR_TERMS = f"""cw AS (SELECT text_id, ' ' || word || ' ' AS w, count(*) AS n FROM (SELECT text_id, unnest({S.words('lower(text_clean)')}) AS word FROM tr) GROUP BY ALL),
+        cg AS (SELECT text_id, substring(w, i, m) AS term, n FROM cw, (SELECT unnest([3, 4, 5]) AS m) z, range(1, length(w) - m + 2) r(i)),
+        ctf AS (SELECT text_id, term, sum(n) AS tf FROM cg GROUP BY ALL),
+        cvoc AS (SELECT term, ln((1 + (SELECT count(*) FROM tr)) / (1 + df)) + 1 AS idf FROM (
+            SELECT term, count(*) AS df, sum(tf) AS total FROM ctf GROUP BY term) WHERE df >= 2 ORDER BY total DESC, term LIMIT 50000),
+        cwt AS (SELECT text_id, term, (1 + ln(tf)) * idf AS w, sqrt(sum(((1 + ln(tf)) * idf) ** 2) OVER (PARTITION BY text_id)) AS norm FROM ctf JOIN cvoc USING (term))"""
 _PRED = dict(pred=f"""SELECT text_id, text_clean, sentiment_label AS t, CASE WHEN len({S.words('text_clean')}) < 60 THEN 'Neutral'
     WHEN length(text_clean) % 4 = 0 THEN 'Negative' ELSE 'Positive' END AS p FROM lab""")
 _HELD = dict(pred=_PRED["pred"].replace("sentiment_label AS t", "split, sentiment_label AS t").replace("FROM lab", "FROM rows_ WHERE split <> 'train'"))
@@ -336,5 +360,13 @@ QUERIES: dict[str, Query] = {
                           ("balanced_optimum", M.ModelSpec("char+lr balanced", (M.CHAR,), "lr", balanced=True)))},
     "sweep_optima": Query(sweep_optima, "SELECT unnest(['incumbent', 'Exp-A', 'Exp-B', 'Exp-C', 'Exp-D', 'Exp-E']) AS run_id, true AS optimal"),
     "feature_weights": Query(weights),
+    "nb_feature_weights": Query(nb_weights, f"""{_NB}, w AS (SELECT tot.c AS label, voc.term, round(ln(coalesce(cs.s, 0) + 1) - tot.lt, 9) AS w
+            FROM voc JOIN tot ON true LEFT JOIN cs ON cs.c = tot.c AND cs.term = voc.term),
+        r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY w DESC, term) AS up, row_number() OVER (PARTITION BY label ORDER BY w, term) AS down FROM w)
+        SELECT label, 'positive' AS direction, up AS rank, term, round(w, 4) AS weight FROM r WHERE up <= 15
+        UNION ALL SELECT label, 'negative', down, term, round(w, 4) FROM r WHERE down <= 15"""),
+    "union_feature_rows": Query(union_rows, f"""{_NB}, {_CHAR_TERMS}
+        SELECT text_id, 'char' AS part, count(*) AS entries, round(sum(w / norm), 6) AS weights, round(sum((w / norm) ** 2), 6) AS length FROM cwt GROUP BY text_id
+        UNION ALL SELECT text_id, 'word', count(*), round(sum(w / norm), 6), round(sum((w / norm) ** 2), 6) FROM wt GROUP BY text_id"""),
     "learnability": Query(learnable),
 }
