@@ -45,7 +45,7 @@ STAGES = [
     ("sharding", assign_shards),
 ]
 
-# Learned scores and signatures are not for SQL; tests hold each stage against a brute-force version.
+# Learned scores and signatures are not for SQL; what the tests hold each stage against is in the README.
 ORACLE_SQL = None
 
 
