@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from chirrup.session import cut_lineage, fresh_dir
+from chirrup.session import fresh_dir
 
 WIDTH = 5  # words in a shingle
 SIMILAR = 0.8
@@ -158,6 +158,10 @@ class Words:
 
 # ---- connected components -----------------------------------------------------------------------
 
+def _written(df: DataFrame) -> DataFrame:
+    return stored(df, "components")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) with the smallest node of each component of `edges(a, b)`.
 
@@ -165,15 +169,15 @@ def components(edges: DataFrame) -> DataFrame:
     label's own label, so star-shaped groups settle in two or three rounds. Each
     round is written to the shared folder; only one number comes back to the driver.
     """
-    both = cut_lineage(edges.select("a", "b").union(edges.select("b", "a")).distinct())
-    labels = cut_lineage(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
+    both = _written(edges.select("a", "b").union(edges.select("b", "a")).distinct())
+    labels = _written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
                          .select("node", F.least("node", "m").alias("label")))
     while True:
         near = (both.join(labels.select(F.col("node").alias("b"), "label"), "b")
                 .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near")))
         stepped = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         roots = labels.select(F.col("node").alias("label"), F.col("label").alias("root"))
-        jumped = cut_lineage(stepped.join(roots, "label").select("node", "old", F.least("label", "root").alias("label")))
+        jumped = _written(stepped.join(roots, "label").select("node", "old", F.least("label", "root").alias("label")))
         if not jumped.where(F.col("old") != F.col("label")).limit(1).count():
             return jumped.select("node", "label")
         labels = jumped.select("node", "label")
