@@ -197,3 +197,25 @@ def test_solver_reports_its_limit():
 def test_grams_of_short_words():
     assert L.word_grams("a", 3, 5) == [" a "] and L.word_grams("a", 4, 5) == [" a "]
     assert L.word_grams("ab", 3, 4) == [" ab", "ab ", " ab "]
+
+
+def test_terms_are_counted_without_a_row_for_each_text(spark, texts):
+    doubled = texts.where("text_clean IS NOT NULL").unionByName(spark.createDataFrame([(0, "the the über", CLASSES[0]), (None, "ok ok", CLASSES[0])], texts.schema))
+    got = {(r.part, r.term): (r.df, r.total) for r in L.term_counts(doubled, (WORD, CHAR), "text_id", "text_clean").collect()}
+    want = {(n, r.term): (r.df, r.total) for n, p in (WORD, CHAR)
+            for r in TP.document_frequency(TP.term_frequencies(doubled, "text_id", "text_clean", p)).collect()}
+    assert got == want
+
+
+def test_driver_gets_one_gradient_a_pass(spark, texts, monkeypatch):
+    known = texts.where(F.col("sentiment_label").isin(*CLASSES))
+    vocabulary = L.fit_vocabulary(known, (WORD, CHAR))
+    blocks = L.training_blocks(known, vocabulary, "sentiment_label", CLASSES).repartition(3)
+    assert blocks.columns == ["y", "pointer", "col", "val"]
+    count = np.ones(3)
+    problems = L.problems_of(L.ModelSpec("c", (CHAR,), "lr"), vocabulary, count)
+    plain = type(blocks).toArrow
+    sizes = []
+    monkeypatch.setattr(type(blocks), "toArrow", lambda self: (lambda t: (sizes.append(sum(len(p.as_py()) for p in t.column("part"))), t)[1])(plain(self)))
+    L.evaluate(blocks, problems, [np.zeros(p.shape) for p in problems], vocabulary.size, 3)
+    assert sizes == [8 * (len(problems) + sum(p.shape[0] * p.width for p in problems))]
