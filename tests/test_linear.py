@@ -219,3 +219,9 @@ def test_driver_gets_one_gradient_a_pass(spark, texts, monkeypatch):
     monkeypatch.setattr(type(blocks), "toArrow", lambda self: (lambda t: (sizes.append(sum(len(p.as_py()) for p in t.column("part"))), t)[1])(plain(self)))
     L.evaluate(blocks, problems, [np.zeros(p.shape) for p in problems], vocabulary.size, 3)
     assert sizes == [8 * (len(problems) + sum(p.shape[0] * p.width for p in problems))]
+
+
+def test_optimality_of_repeated_ids(texts):
+    twice = texts.where(F.col("sentiment_label").isin(*CLASSES)).withColumn("text_id", F.col("text_id") % 50)
+    m = L.fit_models(twice, SPECS[:1], "sentiment_label", CLASSES)
+    assert SC.optimality(twice, list(m.values()), "sentiment_label").head().optimal
