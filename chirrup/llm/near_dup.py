@@ -18,12 +18,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from chirrup.llm.common import broadcast_if_small, components, mix64, only, plain, SIMILAR, slices, stored, without, Words
 
 BANDS, ROWS = 32, 5  # a pair at 0.8 shares no band with probability 3e-6
 TURNS = 3  # second bands that split each bucket which holds several classes
+SLICE, SLICE_BYTES = 512, 2 << 20  # texts of one slice of a bucket
 
 _U = np.uint64
 _UNIT = 2.0 ** -53
@@ -93,16 +94,21 @@ def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def bag_overlap(a: pd.Series, b: pd.Series) -> pd.Series:
     """Weighted Jaccard similarity of the shingle bags of two normalised texts."""
-    out = np.zeros(len(a))
-    for i, (x, y) in enumerate(zip(a, b, strict=True)):
-        words = Words(pa.array([x, y]))
-        doc, h = words.shingles()
-        keys, at = np.unique(h, return_inverse=True)
-        left = np.bincount(at[doc == 0], minlength=len(keys))
-        right = np.bincount(at[doc == 1], minlength=len(keys))
-        most = np.maximum(left, right).sum()
-        out[i] = np.minimum(left, right).sum() / most if most else 0.0
-    return pd.Series(out)
+    out: list[np.ndarray] = []
+    texts = pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string())], ["x", "y"])
+    for part in slices(texts, "x"):
+        (left, h), (right, g) = (Words(part.column(c)).shingles() for c in ("x", "y"))
+        doc, key = np.concatenate((left, right)), np.concatenate((h, g))
+        order = np.lexsort((key, doc))
+        doc, key, mine = doc[order], key[order], order < len(left)
+        first = np.flatnonzero(np.concatenate((np.ones(min(len(key), 1), bool), (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]))))
+        if not len(first):
+            out.append(np.zeros(len(part)))
+            continue
+        x, y = (np.add.reduceat(m.astype(np.int64), first) for m in (mine, ~mine))
+        shared, most = (np.bincount(doc[first], f(x, y), len(part)) for f in (np.minimum, np.maximum))
+        out.append(shared / np.maximum(most, 1))
+    return pd.Series(np.concatenate(out) if out else np.zeros(0))
 
 
 def _kept(df: DataFrame) -> DataFrame:
@@ -110,7 +116,7 @@ def _kept(df: DataFrame) -> DataFrame:
     return stored(df, "near-dup")
 
 
-def node_key(text: F.Column) -> F.Column:
+def node_key(text: Column) -> Column:
     """The 128-bit digest of the normalised text: equal texts are one node."""
     return F.unhex(F.md5(plain(text)))
 
@@ -150,6 +156,70 @@ def _sub_bucket_pairs(members: DataFrame) -> DataFrame:
             .select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct())
 
 
+def _links_of_slices(table: pa.Table) -> pa.Table:
+    """The pairs (a, b) of nodes of different classes that reach the similarity, in one slice of a bucket or between two.
+
+    A bag is a set of tokens (shingle, how often it came before), so one lookup of all
+    tokens of the group gives the exact overlap of a text with every other.
+    """
+    batch = table.combine_chunks().to_batches()[0]
+    docs, keys, at = [], [], 0
+    for part in slices(batch, "plain"):
+        doc, h = Words(part.column("plain")).shingles()
+        docs.append(doc + at)
+        keys.append(h)
+        at += len(part)
+    doc, h = np.concatenate(docs), np.concatenate(keys)
+    order = np.lexsort((h, doc))
+    doc, h = doc[order], h[order]
+    fresh = np.concatenate(([True], (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])))
+    place = np.arange(len(h))
+    seen = (place - np.maximum.accumulate(np.where(fresh, place, 0))).astype(_U)
+    distinct, token = np.unique(h ^ mix64(seen), return_inverse=True)
+    size = np.bincount(doc, minlength=at)
+    start = np.cumsum(size) - size
+    label = batch.column("label").dictionary_encode().indices.to_numpy()
+    slot, row = batch.column("slot").to_numpy(), np.arange(at)
+    one = slot.min() == slot.max()
+    left, right, present = [], [], np.zeros(len(distinct), np.int64)
+    for i in row if one else np.flatnonzero(slot == slot.min()):
+        other = (label != label[i]) & ((row > i) if one else (slot != slot[i]))
+        other &= np.minimum(size, size[i]) >= np.maximum(size, size[i]) * (SIMILAR - 1e-9)
+        if other.any():
+            mine = token[start[i] : start[i] + size[i]]
+            present[mine] = 1
+            shared = np.add.reduceat(present[token], start)
+            present[mine] = 0
+            found = np.flatnonzero(other & (shared / (size + size[i] - shared) >= SIMILAR))
+            left.append(np.full(len(found), i))
+            right.append(found)
+    x, y = (pa.array(np.concatenate(ends) if ends else np.zeros(0, np.int64)) for ends in (left, right))
+    return pa.Table.from_arrays([batch.column("node").take(x), batch.column("node").take(y)], ["a", "b"])
+
+
+def _open_links(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """All similar pairs of nodes that share a bucket and are in different classes.
+
+    A bucket's nodes are dealt to slices of bounded size, and every two slices meet in a group
+    of their own: a group's memory is bounded, a large bucket is many groups, and no pair is listed but the similar ones.
+    """
+    told = members.join(texts, "node")
+    slots = F.greatest(F.ceil(F.col("n") / SLICE), F.ceil(F.col("bytes") / SLICE_BYTES)).cast("int")
+    sizes = told.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("plain")).alias("bytes")).select("key", slots.alias("slots"))
+    dealt = told.join(sizes, "key").select("key", "node", "label", "plain", F.pmod(F.xxhash64("node"), "slots").cast("int").alias("slot"), "slots")
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
+    return (met.groupBy("key", F.least("slot", "other").alias("lo"), F.greatest("slot", "other").alias("hi"))
+            .applyInArrow(_links_of_slices, "a binary, b binary").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
+def _mixed(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, node, label) of the buckets of three or more nodes that hold several classes."""
+    tagged = shared.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+    mixed = (tagged.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n"))
+             .where("lo != hi and n > 2").select("key"))
+    return tagged.join(mixed, "key", "left_semi")
+
+
 def near_classes(docs: DataFrame) -> DataFrame:
     """One row per distinct (doc_id, normalised text): doc_id, node, class_id, copies, kept.
 
@@ -162,9 +232,10 @@ def near_classes(docs: DataFrame) -> DataFrame:
     Equal normalised texts are one node, so copies never meet each other. In each band
     bucket every node is compared with the bucket's smallest node. Buckets of
     three or more that still hold different classes are then split by second
-    bands into sub-buckets with leaders of their own. A pair at 0.8 shares 10
-    sub-buckets on average (TURNS * 32 * 0.33^2). Every step is linear in the
-    members of the buckets: no bucket's pairs are ever listed.
+    bands into sub-buckets with leaders of their own. These two steps are linear and join most of
+    what belongs together; in the buckets that hold different classes after them, all pairs of
+    nodes of different classes are compared. So two texts that share a bucket are in one class
+    or have been compared: a similar pair is lost only if it shares none of the bands.
     """
     base = docs.select("doc_id", "text", plain(F.col("text")).alias("plain"))
     worded = base.where(F.col("plain") != "").select("doc_id", "plain", F.unhex(F.md5("plain")).alias("node"))
@@ -181,16 +252,21 @@ def near_classes(docs: DataFrame) -> DataFrame:
     edges = _kept(_verified(first, _texts(wanted, ids, docs)))
     labels = components(edges)
 
-    tagged = shared.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-    mixed = (tagged.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n"))
-             .where("lo != hi and n > 2").select("key"))
-    members = tagged.join(mixed, "key", "left_semi").select("node", "label").distinct()
+    def linked(pairs: DataFrame) -> DataFrame:
+        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        return _kept(_verified(pairs, _texts(wanted, ids, docs)))
+
+    members = _mixed(shared, labels).select("node", "label").distinct()
     members = _kept(members.join(nodes.select("node", "keys"), "node"))
     again = _kept(_sub_bucket_pairs(members))
-    wanted = again.select(F.col("a").alias("node")).union(again.select("b")).distinct()
-    more = _kept(_verified(again, _texts(wanted, ids, docs)))
-    if more.limit(1).count():
-        labels = components(edges.union(more))
+    more = linked(again)
+    if not more.isEmpty():
+        edges = edges.union(more)
+        labels = components(edges)
+    members = _kept(_mixed(shared, labels))
+    last = _kept(_open_links(members, _texts(members.select("node").distinct(), ids, docs)))
+    if not last.isEmpty():
+        labels = components(edges.union(last))
 
     node_class = ids.join(labels, "node", "left").select("node", "doc_id", F.coalesce("label", "node").alias("label"))
     heads = node_class.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node")).alias("head"))

@@ -70,6 +70,39 @@ def test_near_classes(odd, empty):
     assert near_dup.keep_one(empty).count() == 0
 
 
+def test_near_classes_keep_every_link_of_a_crowd(spark):
+    # Crowds of copies at 0.5 to 0.9 of one another, most of them below 0.8.
+    rows = []
+    for c in range(12):
+        base = prose(f"crowd{c}", 200).split()
+        for i in range(60):
+            r, words = random.Random(f"{c} {i}"), base[:]
+            for at in r.sample(range(200), r.choice((2, 3, 4, 5, 5, 6, 6, 6))):
+                words[at] = f"w{c}x{i}x{at}"
+            rows.append((100 * c + i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    label = {r.doc_id: r.class_id for r in near_dup.near_classes(docs).collect()}
+    bag = {i: {tuple(w[k : k + 5]) for w in [t.split()] for k in range(len(w) - 4)} for i, t in rows}
+    pairs = [(a, b) for a in bag for b in bag if a < b and a // 100 == b // 100 and len(bag[a] & bag[b]) >= 0.8 * len(bag[a] | bag[b])]
+    assert len(pairs) > 100 and not [p for p in pairs if label[p[0]] != label[p[1]]]
+    linked = {x for p in pairs for x in p}
+    assert all(label[i] == i for i in label if i not in linked)
+
+
+def test_links_of_slices_match_brute_force():
+    import pandas as pd
+
+    texts = ["a b c d e f " * n + prose(f"o{n}", 20 * n) for n in range(1, 6)] + ["one", prose("o3", 55), prose("o3", 60), "a b c d e f " * 60, "a b c d e f " * 70]
+    bags = [collections.Counter(tuple(w[k : k + 5]) for w in [t.split()] for k in range(max(len(w) - 4, 1))) for t in texts]
+    pairs = [(i, j) for i in range(len(texts)) for j in range(len(texts))]
+    want = [sum((bags[i] & bags[j]).values()) / sum((bags[i] | bags[j]).values()) for i, j in pairs]
+    assert near_dup.bag_overlap(pd.Series([texts[i] for i, _ in pairs]), pd.Series([texts[j] for _, j in pairs])).tolist() == want
+    for slot in ([0] * len(texts), [i % 2 for i in range(len(texts))]):
+        table = pa.table({"node": range(len(texts)), "label": range(len(texts)), "plain": texts, "slot": slot})
+        found = {tuple(sorted(r.values())) for r in near_dup._links_of_slices(table).to_pylist()}
+        assert found == {(i, j) for (i, j), v in zip(pairs, want) if i < j and v >= 0.8 and (slot[i] != slot[j] or not any(slot))} != set()
+
+
 def test_signatures_estimate_weighted_jaccard():
     rng = np.random.default_rng(1)
     pool = rng.integers(1, 2**63, 60, dtype=np.uint64)
