@@ -346,3 +346,56 @@ def test_only_notices_are_taken_out(spark):
              "copyright notice, this list of conditions", "all rights reserved under this license remain", "the copyright (c) of 2020", "Copyright [yyyy] [name]"]
     df = spark.createDataFrame([(x,) for x in lines], "t string")
     assert [r.t for r in df.where(licenses.without_notices(F.col("t")) == F.col("t")).collect()] == lines[5:]
+
+
+@pytest.mark.parametrize("line_words, more_words", [(46, 14), (44, 26), (40, 12)])
+def test_similar_passages_beside_a_frequent_line(spark, line_words, more_words):
+    line = prose("often", line_words)
+    rows = [(i, prose(f"r{i}", 60) + " " + line + " " + prose(f"s{i}", 60)) for i in range(400)]
+    for i in range(60):  # pairs that share more than the line; one word differs
+        more = prose(f"m{i}", more_words).split()
+        for j in (0, 1):
+            more[i % 10] = f"other{j}"
+            rows.append((1000 + 2 * i + j, " ".join((prose(f"u{i}{j}", 60), line, *more, prose(f"v{i}{j}", 60)))))
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    pairs = {tuple(sorted((r.doc_id, r.partner_id))) for r in found}
+    assert [i for i in range(60) if (1000 + 2 * i, 1001 + 2 * i) not in pairs] == []
+
+
+def test_similar_passages_against_all_pairs():
+    # Two frequent lines in all mixtures, with own words between them; every similar pair is met or both meet one text in between.
+    r = random.Random(5)
+    lines = [prose(f"l{i}", 30).split() for i in range(2)]
+    texts = []
+    for i in range(60):
+        parts = [prose(f"o{r.randrange(12)}", 8).split() if r.random() < 0.6 else prose(f"own{i}", 3).split(), lines[1]]
+        texts.append(" ".join([*prose(f"b{i}", 50).split(), *lines[0], *(r.choice((parts, parts[:1], [])) and sum(parts, [])), *prose(f"e{i}", 50).split()]))
+    h = [Words(pa.array([t])).shingles()[1] for t in texts]
+    anchor = Words(pa.array([" ".join(lines[0])])).shingles()[1][12]
+    place = [int(np.flatnonzero(x == anchor)[0]) for x in h]
+    room = passages.ROOM
+    around = np.zeros((60, 2 * room + 1), np.uint32)
+    for i, (x, c) in enumerate(zip(h, place)):
+        part = np.maximum((x[max(c - room, 0) : c + room + 1] >> np.uint64(32)).astype(np.uint32), 1)
+        start = room - min(c, room)
+        around[i, start : start + len(part)] = part
+    similar = {(i, j) for i in range(60) for j in range(i + 1, 60) if passages.verified_spans(h[i], h[j], [(place[i], place[j])])}
+    linked = {(int(i), int(j)) for i, j in zip(*passages.met_pairs(np.arange(60), around))} & similar
+    near = collections.defaultdict(set)
+    for i, j in linked:
+        near[i].add(j)
+        near[j].add(i)
+    assert similar and all((i, j) in linked or near[i] & near[j] for i, j in similar)
+
+
+def test_crowds_beyond_their_rounds(monkeypatch):
+    # Near copies with edits in many mixtures: rounds and all pairs at once give the same near pairs.
+    rng = np.random.default_rng(2)
+    base = rng.integers(1, 2**32, 2 * passages.ROOM + 1, dtype=np.uint32)
+    around = np.tile(base, (40, 1))
+    for row in around:
+        at = np.setdiff1d(rng.integers(0, len(base), 60), [passages.ROOM])
+        row[at] = base[at] // 2 + rng.integers(0, 2, len(at), dtype=np.uint32)
+    want = set(zip(*(x.tolist() for x in passages.met_pairs(np.arange(40), around))))
+    monkeypatch.setattr(passages, "MANY", 4)
+    assert set(zip(*(x.tolist() for x in passages.met_pairs(np.arange(40), around)))) == want != set()
