@@ -225,3 +225,29 @@ def test_optimality_of_repeated_ids(texts):
     twice = texts.where(F.col("sentiment_label").isin(*CLASSES)).withColumn("text_id", F.col("text_id") % 50)
     m = L.fit_models(twice, SPECS[:1], "sentiment_label", CLASSES)
     assert SC.optimality(twice, list(m.values()), "sentiment_label").head().optimal
+
+
+def test_more_steps_save_passes(texts, models):
+    known = texts.where(F.col("sentiment_label").isin(*CLASSES))
+    vocabulary = L.fit_vocabulary(known, (WORD,))
+    problem = L.problems_of(L.ModelSpec("w", (WORD,), "lr"), vocabulary, np.ones(3))
+    assert L.steps_held(problem) == L.MOST_STEPS
+    wide = L.Problem("x", "lr", -1, 3, np.arange(100_000), np.ones(3), 1.0, 1.0)
+    assert L.steps_held([wide] * 10) == L.FEW_STEPS and 16 * 300_003 * L.steps_held([wide]) <= L.HISTORY_BYTES
+
+    rng = np.random.default_rng(1)
+    curve = np.geomspace(1e-4, 1.0, 30)[:, None]
+    goal = rng.normal(size=(30, 1))
+
+    def passes(memory):
+        solver = L.lbfgs(np.zeros((30, 1)), 1e-6, 2000, 1.0, memory)
+        x, n = next(solver), 1
+        while True:
+            gap = x - goal
+            try:
+                x = solver.send((0.5 * float((curve * gap * gap).sum()), curve * gap))
+                n += 1
+            except StopIteration:
+                return n
+
+    assert passes(L.MOST_STEPS) < 0.6 * passes(L.FEW_STEPS)
