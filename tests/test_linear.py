@@ -1,8 +1,10 @@
 """The shared fit against dense solvers, features against the term tables, stored models against joins."""
 
+import cProfile
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -251,3 +253,28 @@ def test_more_steps_save_passes(texts, models):
                 return n
 
     assert passes(L.MOST_STEPS) < 0.6 * passes(L.FEW_STEPS)
+
+
+def test_grams_of_all_words_at_once():
+    words = pa.array(["skipped", "", "a", "ab", "abc", "\u00e9t\u00e9", "\u65e5\u672c\u8a9e", "\U0001d4b3y", "x" * 30]).slice(1)
+    for low, high in ((3, 5), (1, 3), (4, 6)):
+        grams, size = L._grams(words, low, high)
+        each = [L.word_grams(w, low, high) for w in words.to_pylist()]
+        assert grams.to_pylist() == [g for gs in each for g in gs] and size.tolist() == [len(gs) for gs in each]
+    many = pa.array([[f"word{i}" for i in range(3000)]])
+    with cProfile.Profile() as calls:
+        L._counted(many, P.CHAR_TFIDF)
+    assert sum(e.callcount for e in calls.getstats()) < 3000  # no Python call a word
+
+
+def test_a_task_sends_a_term_of_its_runs_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "same words here") for i in range(8)], "text_id long, text_clean string").coalesce(1)
+    seen, size = [], "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(size)
+    spark.conf.set(size, 1)  # a run of its own for each text
+    group = type(docs).groupBy
+    monkeypatch.setattr(type(docs), "groupBy", lambda self, *by: (seen.append(self) if by == ("part", "term") else None, group(self, *by))[1])
+    counted = L.term_counts(docs, (("word", P.TfidfParams(ngrams=(1, 1))),), "text_id", "text_clean")
+    assert [tuple(r)[1:] for r in counted.orderBy("term").collect()] == [("here", 8, 8), ("same", 8, 8), ("words", 8, 8)]
+    assert seen[-1].count() == 3
+    spark.conf.set(size, usual)
