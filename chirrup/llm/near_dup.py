@@ -20,11 +20,12 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from chirrup.llm.common import broadcast_if_small, components, mix64, only, plain, SIMILAR, slices, stored, without, Words
+from chirrup.llm.common import broadcast_if_small, components, mix64, only, plain, SIMILAR, slices, stored, TEXT_ROWS, without, Words
 
 BANDS, ROWS = 32, 5  # a pair at 0.8 shares no band with probability 3e-6
 TURNS = 3  # second bands that split each bucket which holds several classes
 SLICE, SLICE_BYTES = 512, 2 << 20  # texts of one slice of a bucket
+AT_ONCE = 1 << 18  # text bytes of which a worker holds the arrays
 
 _U = np.uint64
 _UNIT = 2.0 ** -53
@@ -81,7 +82,7 @@ def signatures(doc: np.ndarray, h: np.ndarray, docs: int, size: int) -> np.ndarr
 
 def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for batch in slices(whole, "plain"):
+        for batch in slices(whole, "plain", AT_ONCE):
             words = Words(batch.column("plain"))
             sig = signatures(*words.shingles(), words.docs, BANDS * ROWS).reshape(-1, BANDS, ROWS)
             keys = np.zeros(sig.shape[:2], _U)
@@ -96,7 +97,7 @@ def bag_overlap(a: pd.Series, b: pd.Series) -> pd.Series:
     """Weighted Jaccard similarity of the shingle bags of two normalised texts."""
     out: list[np.ndarray] = []
     texts = pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string())], ["x", "y"])
-    for part in slices(texts, "x"):
+    for part in slices(texts, "x", AT_ONCE):
         (left, h), (right, g) = (Words(part.column(c)).shingles() for c in ("x", "y"))
         doc, key = np.concatenate((left, right)), np.concatenate((h, g))
         order = np.lexsort((key, doc))
@@ -113,7 +114,7 @@ def bag_overlap(a: pd.Series, b: pd.Series) -> pd.Series:
 
 def _kept(df: DataFrame) -> DataFrame:
     """A written intermediate table. Small tables come back as few partitions, so later stages have few tasks."""
-    return stored(df, "near-dup")
+    return stored(df, "near-dup", TEXT_ROWS)
 
 
 def node_key(text: Column) -> Column:

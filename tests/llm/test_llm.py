@@ -3,6 +3,7 @@
 import collections
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chirrup.llm import decontaminate, fingerprints, labelled, language, licenses, mixture, near_dup, passages, quality, shards, toxicity
-from chirrup.llm.common import Words, components
+from chirrup.llm.common import Words, components, stored
 from chirrup.llm.license_texts import MIT_GRANT
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, node string, label int, h string"
@@ -399,3 +400,30 @@ def test_crowds_beyond_their_rounds(monkeypatch):
     want = set(zip(*(x.tolist() for x in passages.met_pairs(np.arange(40), around))))
     monkeypatch.setattr(passages, "MANY", 4)
     assert set(zip(*(x.tolist() for x in passages.met_pairs(np.arange(40), around)))) == want != set()
+
+
+@pytest.mark.parametrize("step, names", [(near_dup._band_keys, ("doc_id", "node", "plain"))])
+def test_arrays_of_a_batch_of_texts_are_bounded(step, names):
+    r = random.Random(7)
+    texts = [" ".join(f"w{r.randrange(5000)}" for _ in range(400)) for _ in range(1500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1500)), pa.array(range(1500)), pa.array(texts)], list(names))
+    for _ in step(iter([batch.slice(0, 10)])):  # tables of the module
+        pass
+    tracemalloc.start()
+    for _ in step(iter([batch])):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 << 20
+
+
+def test_stored_gives_python_few_rows_at_a_time(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(name)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(b)])], ["n"])
+
+    seen = stored(spark.range(0, 50, numPartitions=1).mapInArrow(sizes, "n long"), "batches", 8)
+    assert [r.n for r in seen.collect()] == [8] * 6 + [2] and spark.conf.get(name) == usual
