@@ -278,3 +278,36 @@ def test_a_task_sends_a_term_of_its_runs_once(spark, monkeypatch):
     assert [tuple(r)[1:] for r in counted.orderBy("term").collect()] == [("here", 8, 8), ("same", 8, 8), ("words", 8, 8)]
     assert seen[-1].count() == 3
     spark.conf.set(size, usual)
+
+
+def test_blocks_take_few_bytes_an_entry(texts):
+    known = texts.where(F.col("sentiment_label").isin(*CLASSES)).coalesce(1)
+    vocabulary = L.fit_vocabulary(known, (CHAR, WORD))
+    blocks = L.training_blocks(known, vocabulary, "sentiment_label", CLASSES).collect()
+    entries = sum(len(r.features) for r in L.feature_rows(known, vocabulary, ["text_id"]).collect())
+    assert sum(len(b.col) + len(b.val) for b in blocks) < 5 * entries  # 12 before
+
+
+def test_packed_blocks_come_back():
+    y = np.array([0, 2, 1])
+    words = (np.array([2, 0, 3]), np.array([3, 70_000, 1, 255, 509]), np.array([1, 300, 254, 255, 7]), np.array([0.5, 1.0, 2.0]))
+    grams = (np.array([0, 1, 0]), np.array([90_000]), np.array([2]), np.array([3.0, 4.0, 5.0]))
+    labels, parts = L._unpacked(L._packed(y, [words, grams]), 0)
+    assert labels.tolist() == y.tolist() and len(parts) == 2
+    for (size, col, tf, norm), (times, column, small, at, wide, length) in zip((words, grams), parts):
+        counts = small.astype(int)
+        counts[at] = wide
+        assert (times.tolist(), column.tolist(), counts.tolist(), length.tolist()) == (size.tolist(), col.tolist(), tf.tolist(), norm.tolist())
+    assert L._unpacked(L._packed(y, [tuple(x[:0] if i in (1, 2) else x * 0 for i, x in enumerate(words))]), 0)[1][0][1].tolist() == []
+
+
+def test_what_all_texts_share_costs_no_passes(spark, monkeypatch):
+    rng = random.Random(2)
+    common = " ".join(f"all{i}" for i in range(40))
+    data = [(i, f"{common} {' '.join(rng.choices([f'{c}{k}' for k in range(5)] + ['x', 'y'], k=4))}", c) for i in range(300) for c in [rng.choice(CLASSES)]]
+    df = spark.createDataFrame(data, "text_id long, text_clean string, sentiment_label string").coalesce(2)
+    spec = L.ModelSpec("w", (("word", P.TfidfParams(min_df=1, ngrams=(1, 1))),), "lr", c=100.0, tolerance=1e-7)
+    plain, passes = L.evaluate, []
+    monkeypatch.setattr(L, "evaluate", lambda *a, **k: (passes.append(1), plain(*a, **k))[1])
+    L.fit_models(df, (spec,), "sentiment_label", CLASSES)
+    assert len(passes) <= 45  # 66 before
