@@ -311,3 +311,20 @@ def test_what_all_texts_share_costs_no_passes(spark, monkeypatch):
     monkeypatch.setattr(L, "evaluate", lambda *a, **k: (passes.append(1), plain(*a, **k))[1])
     L.fit_models(df, (spec,), "sentiment_label", CLASSES)
     assert len(passes) <= 45  # 66 before
+
+
+def test_optimality_stores_no_features(texts, models, monkeypatch):
+    kept = []
+    plain, checkpoint = SC.written, type(texts).checkpoint
+    monkeypatch.setattr(SC, "written", lambda df, name: (kept.append(df.columns), plain(df, name))[1])
+    monkeypatch.setattr(type(texts), "checkpoint", lambda self, *a, **k: (kept.append(self.columns), checkpoint(self, *a, **k))[1])
+    assert all(r.optimal for r in SC.optimality(texts, [models["both"], models["svm"]], "sentiment_label").collect())
+    assert kept and not any("features" in columns for columns in kept)
+
+
+def test_margins_of_repeated_ids_shuffle_no_terms(texts, models):
+    twice = texts.where("text_clean IS NOT NULL").withColumn("text_id", F.col("text_id") % 40)
+    joined = SC.margins_by_join(twice, models["both"])
+    assert joined.count() == 3 * twice.count()
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(term" not in plan and ", term#" not in "".join(x for x in plan.splitlines() if "Exchange hashpartitioning" in x)
