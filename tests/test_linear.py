@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from chirrup import params as P
 from chirrup.operators import linear as L, models as M, scoring as SC, topics as TP
+from chirrup.plans import learning as LN
 
 CLASSES = P.SENTIMENTS
 WORD, CHAR = ("word", P.TfidfParams(min_df=1)), ("char", P.TfidfParams(analyzer="char", ngrams=(3, 5), min_df=1))
@@ -328,3 +329,11 @@ def test_margins_of_repeated_ids_shuffle_no_terms(texts, models):
     assert joined.count() == 3 * twice.count()
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(term" not in plan and ", term#" not in "".join(x for x in plan.splitlines() if "Exchange hashpartitioning" in x)
+
+
+def test_texts_are_cleaned_once_for_the_split(spark, folder, monkeypatch):
+    kept, plain = [], LN.written
+    monkeypatch.setattr(LN, "written", lambda df, name: (kept.append(df.columns), plain(df, name))[1])
+    got = {r.text_id for part in LN._parts(spark, folder) for r in part.select("text_id").collect()}
+    assert got == {r.text_id for r in LN.labelled(spark, folder).select("text_id").collect()}
+    assert kept == [["text_id", "text_clean", "sentiment_label"]]
